@@ -60,6 +60,14 @@ def profile(df: DataFrame, language: str = "language") -> DataFrame:
     )
 
 
+def filled_code_columns(df: DataFrame) -> DataFrame:
+    """Columns whose name hints at code, with the number of rows that fill them."""
+    names = code_columns(df)
+    counted = df.agg(*[F.count(name).alias(name) for name in names])
+    rows = [F.struct(F.lit(name).alias("name"), F.col(name).alias("n")) for name in names]
+    return counted.select(F.inline(F.array(*rows)))
+
+
 def _count_equal(values: Column, wanted: str) -> Column:
     return F.size(F.filter(values, lambda value: value == wanted))
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,3 +38,30 @@ def scan(files: DataFrame, probability: Column | None = None, unmapped: str = "k
 def findings_table(report: DataFrame, keep: tuple[str, ...] = REPORT_KEY) -> DataFrame:
     """One row per finding of a report."""
     return report.select(*keep, F.explode("findings").alias("finding")).select(*keep, "finding.*")
+
+
+#: A model of this name stands in for a missing Python model.
+GENERIC_MODEL = "hybrid"
+
+
+def model_of(language: Column, available: Iterable[str]) -> Column:
+    """Name of the model for a language, the generic one for Python without its own, else null."""
+    names = set(available)
+    out = F.lit(None).cast("string")
+    for name in sorted(names - {GENERIC_MODEL}):
+        out = F.when(language == name, F.lit(name)).otherwise(out)
+    if "python" not in names and GENERIC_MODEL in names:
+        out = F.when(language == "python", F.lit(GENERIC_MODEL)).otherwise(out)
+    return out
+
+
+def route_models(files: DataFrame, models: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Score every file by the model of its language; files without a model get 0.0.
+
+    ``models`` maps a name to a function that adds ``ml_prob``.
+    """
+    routed = files.withColumn("model", model_of(F.col("language"), models))
+    parts = [score(routed.where(F.col("model") == name)) for name, score in sorted(models.items())]
+    rest = routed.where("model IS NULL").withColumn("ml_prob", F.lit(0.0))
+    columns = [*routed.columns, F.coalesce("ml_prob", F.lit(0.0)).alias("ml_prob")]
+    return reduce(DataFrame.unionByName, [part.select(*columns) for part in (rest, *parts)])
