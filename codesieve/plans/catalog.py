@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from codesieve.plans import rule_queries, set_queries, text_queries  # noqa: F401
+from codesieve.plans import rule_queries, set_queries, source_queries, text_queries  # noqa: F401
 from codesieve.plans.registry import ORACLES, QUERIES  # noqa: F401
