@@ -1,8 +1,13 @@
-"""Text functions on code: stripping, cleaning, counting, splitting into lines and words."""
+"""Text functions on code: stripping, cleaning, counting, splitting into lines and words.
+
+Functions named ``with_*`` add columns to a table, so that a costly step feeds several of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What Python calls white space, as single characters and as a regex class that
@@ -17,6 +22,7 @@ WS = f"[{BLANK_CLASS}]"
 WORD = r"[\p{L}\p{N}_]"
 
 # Where Python's splitlines() ends a line.
+RARE_LINE_ENDS = ("\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
 LINE_ENDS = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 
 # Comment forms and white-lists of the two cleaning steps.
@@ -57,16 +63,16 @@ def lines(code: Column) -> Column:
 
 
 def source_lines(code: Column) -> Column:
-    """Lines as ``splitlines`` gives them: every line ending counts, no empty last line."""
-    pieces = F.split(code, LINE_ENDS, -1)
-    closed = F.element_at(pieces, -1) == ""
-    return F.slice(pieces, F.lit(1), F.size(pieces) - F.when(closed, 1).otherwise(0))
+    """Lines as ``splitlines`` gives them, save that a closing line end leaves an empty last piece."""
+    # Other line ends are rare: plain searches settle most texts and keep the split a simple one.
+    rare = reduce(Column.__or__, [F.contains(code, F.lit(end)) for end in RARE_LINE_ENDS])
+    return F.split(F.when(rare, F.regexp_replace(code, LINE_ENDS, "\n")).otherwise(code), "\n", -1)
 
 
-def is_skipped(stripped: Column, marks: tuple[str, ...] = ("/", "*", "#")) -> Column:
-    """True for a stripped line that is empty or starts with one of ``marks``."""
-    first = F.substring(stripped, 1, 1)
-    return (stripped == "") | first.isin(*marks)
+def is_skipped(line: Column, marks: tuple[str, ...] = ("/", "*", "#")) -> Column:
+    """True for a line that is blank or starts, after blanks, with one of ``marks``."""
+    first = F.substring(lstrip(line), 1, 1)
+    return first.isin("", *marks)
 
 
 def occurrences(text: Column, word: Column | str) -> Column:
@@ -95,32 +101,49 @@ def fill_template(template: Column, values: dict[str, Column]) -> Column:
     return F.replace(out, F.lit("}}"), F.lit("}"))
 
 
-def line_metrics(code: Column) -> dict[str, Column]:
-    """loc, comments, blank_lines, code_lines, size_bytes and avg_line_length of a text."""
-    rows = F.transform(source_lines(code), strip)
-    loc = F.size(rows)
-    comments = F.size(F.filter(rows, lambda row: row.startswith("#")))
-    blank = F.size(F.filter(rows, lambda row: row == ""))
-    size = F.octet_length(code)
-    return {
-        "loc": loc,
-        "comments": comments,
-        "blank_lines": blank,
-        "code_lines": loc - comments - blank,
-        "size_bytes": size,
-        "avg_line_length": F.when(loc > 0, size / loc).otherwise(F.lit(0.0)),
-    }
-
-
-def token_stats(code: Column) -> dict[str, Column]:
-    """total_tokens, unique_tokens and token_diversity of a text."""
-    found = words(code)
-    total, unique = F.size(found), F.size(F.array_distinct(found))
-    return {
-        "total_tokens": total,
-        "unique_tokens": unique,
-        "token_diversity": F.when(total > 0, unique / total).otherwise(F.lit(0.0)),
-    }
+def lstrip(text: Column) -> Column:
+    """The text without leading blanks; cheaper than :func:`strip` where only its start matters."""
+    return F.ltrim(text, F.lit(BLANKS))
+
+
+def folded(text: Column) -> Column:
+    """Lower-cased text in which every letter that a case-blind pattern takes for a, b … z is that
+    letter. Meant for a quick search ahead of a pattern; make it a column, it is used many times."""
+    plain = text
+    for letter, base in (("\u017f", "s"), ("\u0131", "i"), ("\u0130", "i")):
+        plain = F.replace(plain, F.lit(letter), F.lit(base))
+    return F.lower(plain)
+
+
+def with_line_metrics(df: DataFrame, code: str = "code") -> DataFrame:
+    """Add loc, comments, blank_lines, code_lines, size_bytes and avg_line_length of a text."""
+    rows = df.withColumn("_rows", F.transform(source_lines(F.col(code)), lstrip))
+    # A closing line end opens no further line; an empty text has none at all.
+    closed = F.substring(code, -1, 1).isin("", "\n", *RARE_LINE_ENDS).cast("int")
+    counted = rows.withColumns(
+        {
+            "loc": F.size("_rows") - closed,
+            "comments": F.size(F.filter("_rows", lambda row: row.startswith("#"))),
+            "blank_lines": F.size(F.filter("_rows", lambda row: row == "")) - closed,
+            "size_bytes": F.octet_length(F.col(code)),
+        }
+    ).drop("_rows")
+    return counted.withColumns(
+        {
+            "code_lines": F.col("loc") - F.col("comments") - F.col("blank_lines"),
+            "avg_line_length": F.when(F.col("loc") > 0, F.col("size_bytes") / F.col("loc")).otherwise(F.lit(0.0)),
+        }
+    )
+
+
+def with_token_stats(df: DataFrame, code: str = "code") -> DataFrame:
+    """Add total_tokens, unique_tokens and token_diversity of a text."""
+    found = df.withColumn("_words", words(F.col(code)))
+    counted = found.withColumns(
+        {"total_tokens": F.size("_words"), "unique_tokens": F.size(F.array_distinct("_words"))}
+    ).drop("_words")
+    total, unique = F.col("total_tokens"), F.col("unique_tokens")
+    return counted.withColumn("token_diversity", F.when(total > 0, unique / total).otherwise(F.lit(0.0)))
 
 
 def md5_int(text: Column, digits: int = 8, start: int = 1) -> Column:

@@ -8,8 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codesieve.functions.text import BLANK_CLASS, WORD, WS, folded, is_skipped, lines, portable, strip
 from codesieve.operators.scoring import OTHER_POINTS, SEVERITY_POINTS
-from codesieve.functions.text import BLANK_CLASS, WORD, WS, is_skipped, lines, portable, strip
 
 
 class Rule(NamedTuple):
@@ -135,8 +135,27 @@ STEMS: dict[tuple[Rule, ...], tuple[str, ...]] = {
         "popen", "pickle.load", "eval", "exec", "hashlib.", "debug",
     ),
 }
-# Letters that a pattern folds onto s and i but ``lower`` does not: texts with one skip the cheap test.
-ODD_LETTERS = ("\u017f", "\u0131", "i\u0307")
+FLAG_STEMS = {
+    "pickle_usage": ("pickle.load",),
+    "yaml_unsafe_load": ("yaml.load",),
+    "marshal_usage": ("marshal.load",),
+    "weak_hash": ("hashlib.",),
+    "des_crypto": ("des.",),
+    "eval_usage": ("eval",),
+    "exec_usage": ("exec",),
+    "compile_usage": ("compile",),
+    "shell_true": ("shell",),
+    "weak_random": ("random.",),
+    "xml_unsafe": ("etree.fromstring", "parsestring", "xml.dom"),
+    "has_validation": ("validate", "check", "verify", "sanitize", "escape", "clean"),
+    "has_try_except": ("try",),
+    "has_isinstance": ("isinstance",),
+    "has_assert": ("assert",),
+    "has_raise": ("raise",),
+    "parameterized_query": ("execute", "%s"),
+    "html_escape": ("escape",),
+}
+SECRET_STEMS = ("secret", "token", "api", "password", "pwd", "passphrase")
 
 # The file-wide rule on old-style declarations.
 VAR_PATTERN = rf"\bvar{WS}+"
@@ -156,13 +175,14 @@ def _match(text: Column, rule: Rule, ignore_case: bool = True) -> Column:
     return text.rlike(portable(rule.pattern, ignore_case))
 
 
-def _may_hit(lowered: Column, rules: tuple[Rule, ...]) -> Column:
-    """False only where no rule of the set can match. Plain text search, far cheaper than patterns.
+def _any_stem(lowered: Column, stems: tuple[str, ...]) -> Column:
+    return reduce(Column.__or__, [F.contains(lowered, F.lit(stem)) for stem in stems])
 
-    ``lowered`` should be a column of its own, so that the text is lower-cased once and not per test.
-    """
-    signs = (*STEMS[rules], *ODD_LETTERS) if rules in STEMS else ("",)
-    return reduce(Column.__or__, [F.contains(lowered, F.lit(sign)) for sign in signs])
+
+def _may_hit(lowered: Column, rules: tuple[Rule, ...]) -> Column:
+    """False only where no rule of the set can match: plain search in folded text, far cheaper than
+    patterns. Rule sets without stems may hit anywhere."""
+    return _any_stem(lowered, STEMS.get(rules, ("",)))
 
 
 def line_hits(
@@ -177,11 +197,10 @@ def line_hits(
     All patterns are literals of one projection, so each is compiled once per task, and lines
     without any hit leave before the rules are told apart. Nothing is shuffled.
     """
-    likely = files.withColumn("lowered", F.lower("code")).where(_may_hit(F.col("lowered"), rules))
+    likely = files.withColumn("lowered", folded(F.col("code"))).where(_may_hit(F.col("lowered"), rules))
     split = likely.select(*keep, F.posexplode(lines(F.col("code"))).alias("at", "text"))
-    lowered = split.withColumn("lowered", F.lower("text"))
-    live = lowered.where(_may_hit(F.col("lowered"), rules)).withColumn("bare", strip(F.col("text")))
-    live = live.where(~is_skipped(F.col("bare"), skip))
+    lowered = split.withColumn("lowered", folded(F.col("text")))
+    live = lowered.where(_may_hit(F.col("lowered"), rules) & ~is_skipped(F.col("text"), skip))
     hits = F.array(
         *[
             F.when(
@@ -200,7 +219,7 @@ def line_hits(
         live.select(
             *keep,
             (F.col("at") + 1).alias("line"),
-            F.substring("bare", 1, snippet).alias("snippet"),
+            F.substring(strip(F.col("text")), 1, snippet).alias("snippet"),
             F.explode(hits).alias("hit"),
         )
         .where("hit IS NOT NULL")
@@ -229,11 +248,11 @@ def _findings_in_row(
             )
             for order, rule in enumerate(rules, 1)
         ]
-        return F.when(~is_skipped(bare, skip), F.array(*hits)).otherwise(F.lit(None).cast(f"array<{FINDING}>"))
+        return F.when(~is_skipped(text, skip), F.array(*hits)).otherwise(F.lit(None).cast(f"array<{FINDING}>"))
 
     numbered = F.transform(
         lines(code),
-        lambda text, at: F.struct(text.alias("text"), F.lower(text).alias("lowered"), at.alias("at")),
+        lambda text, at: F.struct(text.alias("text"), folded(text).alias("lowered"), at.alias("at")),
     )
     likely = F.filter(numbered, lambda row: _may_hit(row["lowered"], rules))
     per_line = F.filter(F.transform(likely, lambda row: of_line(row["text"], row["at"])), F.isnotnull)
@@ -282,23 +301,31 @@ def with_language_findings(files: DataFrame) -> DataFrame:
         if name == "javascript":
             found = F.concat(found, F.filter(F.array(var_finding(code)), F.isnotnull))
         out = F.when(F.col("language") == name, found).otherwise(out)
-    lowered_files = files.withColumn("_lowered", F.lower("code"))
+    lowered_files = files.withColumn("_lowered", folded(F.col("code")))
     return lowered_files.withColumn("findings", F.coalesce(out, no_findings())).drop("_lowered")
 
 
 def with_python_findings(files: DataFrame) -> DataFrame:
     """Add ``findings`` of the Python-only rule set; only ``#`` lines are skipped, snippets are longer."""
     found = _findings_in_row(F.col("code"), F.col("_lowered"), PYTHON_LINE_RULES, ("#",), 100)
-    return files.withColumn("_lowered", F.lower("code")).withColumn("findings", found).drop("_lowered")
+    return files.withColumn("_lowered", folded(F.col("code"))).withColumn("findings", found).drop("_lowered")
+
 
+def with_flags(files: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """Add a 0/1 column per pattern, searched in the whole text; its stems are looked for first."""
+    lowered = files.withColumn("_lowered", folded(F.col("code")))
+    flags = {
+        name: (_any_stem(F.col("_lowered"), FLAG_STEMS[name]) & F.col("code").rlike(portable(pattern))).cast("int")
+        for name, pattern in patterns.items()
+    }
+    return lowered.withColumns(flags).drop("_lowered")
 
-def text_flags(code: Column, patterns: dict[str, str]) -> dict[str, Column]:
-    """0/1 column per pattern, searched in the whole text."""
-    return {name: code.rlike(portable(pattern)).cast("int") for name, pattern in patterns.items()}
 
+def text_findings(code: Column, lowered: Column) -> dict[str, Column]:
+    """Whole-text findings by heuristic: arrays of ``struct<name,severity,detail>``.
 
-def text_findings(code: Column) -> dict[str, Column]:
-    """Whole-text findings by heuristic: arrays of ``struct<name,severity,detail>``."""
+    ``lowered`` is the folded text, as a column of its own.
+    """
 
     def entry(rule: Rule, hit: Column) -> Column:
         return F.when(
@@ -315,7 +342,10 @@ def text_findings(code: Column) -> dict[str, Column]:
 
     debug = reduce(Column.__and__, [F.contains(code, F.lit(sign)) for sign in DEBUG_TEXT_SIGNS])
     return {
-        "secrets": present(*[entry(rule, _match(code, rule)) for rule in SECRET_TEXT_RULES]),
+        "secrets": F.when(
+            _any_stem(lowered, SECRET_STEMS),
+            present(*[entry(rule, _match(code, rule)) for rule in SECRET_TEXT_RULES]),
+        ).otherwise(present(F.lit(None).cast("struct<name:string,severity:string,detail:string>"))),
         "debug": present(entry(DEBUG_TEXT_RULE, debug)),
         "xss": present(entry(XSS_TEXT_RULE, _match(code, XSS_TEXT_RULE, ignore_case=False))),
     }
@@ -341,7 +371,7 @@ def join_rules(files: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("fil
     The built-in sets are faster as :func:`line_hits`, because here each pattern is a value of a row.
     """
     split = files.select(*keep, "language", F.posexplode(lines(F.col("code"))).alias("at", "text"))
-    live = split.withColumn("bare", strip(F.col("text"))).where(~is_skipped(F.col("bare")))
+    live = split.where(~is_skipped(F.col("text")))
     side = F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
     joined = live.join(side, (live.language == side.language) & F.rlike(live.text, side.pattern))
     return joined.select(
@@ -350,7 +380,7 @@ def join_rules(files: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("fil
         "rule_order",
         "type",
         "severity",
-        F.substring("bare", 1, snippet).alias("snippet"),
+        F.substring(strip(F.col("text")), 1, snippet).alias("snippet"),
     )
 
 

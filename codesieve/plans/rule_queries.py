@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codesieve.functions.text import folded
 from codesieve.operators import aggregates, rules, scan, scoring
 from codesieve.plans import sql, views
 from codesieve.plans.registry import query
@@ -102,8 +103,9 @@ def _text_rule(name: str, key: str, pieces: list[tuple[str, rules.Rule]]) -> Non
 
     @query(name, with_views(body, "code_files"))
     def run(spark, sf_dir):
-        found = rules.text_findings(F.col("code"))[key]
-        return views.code_files(spark, sf_dir).select("file_id", F.inline(found))
+        files = views.code_files(spark, sf_dir).withColumn("lowered", folded(F.col("code")))
+        found = rules.text_findings(F.col("code"), F.col("lowered"))[key]
+        return files.select("file_id", F.inline(found))
 
 
 _text_rule("rul_secret_text", "secrets", [(sql.hits("code", r.pattern), r) for r in rules.SECRET_TEXT_RULES])
@@ -120,8 +122,7 @@ def _flags(name: str, patterns: dict[str, str]) -> None:
 
     @query(name, with_views(f"SELECT file_id, {columns} FROM code_files", "code_files"))
     def run(spark, sf_dir):
-        flags = rules.text_flags(F.col("code"), patterns)
-        return views.code_files(spark, sf_dir).select("file_id", *[c.alias(n) for n, c in flags.items()])
+        return rules.with_flags(views.code_files(spark, sf_dir), patterns).select("file_id", *patterns)
 
 
 _flags("rul_flags_danger", rules.DANGER_FLAGS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from codesieve.functions import languages
-from codesieve.functions.text import line_metrics, token_stats
+from codesieve.functions.text import with_line_metrics, with_token_stats
 from codesieve.operators import aggregates, harvest, metrics, sampling, scan, sets, synthesis
 from codesieve.plans import sql, views
 from codesieve.plans.registry import query
@@ -272,8 +272,8 @@ _SCALED = ("loc", "comments", "size_bytes", "avg_line_length", "total_tokens")
 
 
 def lexical(spark, sf_dir):
-    columns = {**line_metrics(F.col("code")), **token_stats(F.col("code"))}
-    return views.code_files(spark, sf_dir).select("file_id", "target", *[c.alias(n) for n, c in columns.items()])
+    files = views.code_files(spark, sf_dir).select("file_id", "target", "code")
+    return with_token_stats(with_line_metrics(files)).drop("code")
 
 
 @query(

@@ -299,6 +299,8 @@ def txt_risk_profiles(spark, sf_dir):
     return table.fillna(0, ["n_files"])
 
 
+LINE_METRICS = ("loc", "comments", "blank_lines", "code_lines", "size_bytes", "avg_line_length")
+TOKEN_STATS = ("total_tokens", "unique_tokens", "token_diversity")
 _LINES = f"string_split_regex(code, {q(text.LINE_ENDS)})"
 _ROWS = f"list_transform(CASE WHEN l[-1] = '' THEN l[:-2] ELSE l END, lambda x: {sql.strip('x')})"
 LINE_METRICS_SQL = f"""SELECT *, loc - comments - blank_lines AS code_lines,
@@ -310,8 +312,7 @@ LINE_METRICS_SQL = f"""SELECT *, loc - comments - blank_lines AS code_lines,
 
 @query("txt_line_metrics", with_views(LINE_METRICS_SQL, "code_files"))
 def txt_line_metrics(spark, sf_dir):
-    metrics = text.line_metrics(F.col("code"))
-    return views.code_files(spark, sf_dir).select("file_id", *[c.alias(n) for n, c in metrics.items()])
+    return text.with_line_metrics(views.code_files(spark, sf_dir)).select("file_id", *LINE_METRICS)
 
 
 TOKEN_STATS_SQL = f"""SELECT file_id, total_tokens, unique_tokens,
@@ -322,8 +323,7 @@ TOKEN_STATS_SQL = f"""SELECT file_id, total_tokens, unique_tokens,
 
 @query("txt_token_stats", with_views(TOKEN_STATS_SQL, "code_files"))
 def txt_token_stats(spark, sf_dir):
-    stats = text.token_stats(F.col("code"))
-    return views.code_files(spark, sf_dir).select("file_id", *[c.alias(n) for n, c in stats.items()])
+    return text.with_token_stats(views.code_files(spark, sf_dir)).select("file_id", *TOKEN_STATS)
 
 
 @query(
@@ -339,14 +339,9 @@ def txt_token_stats(spark, sf_dir):
     ),
 )
 def feat_lexical(spark, sf_dir):
-    code = F.col("code")
-    columns = {
-        **text.line_metrics(code),
-        **text.token_stats(code),
-        **rules.text_flags(code, rules.DANGER_FLAGS),
-        **rules.text_flags(code, rules.SANITISE_FLAGS),
-    }
-    return views.code_files(spark, sf_dir).select("file_id", *[c.alias(n) for n, c in columns.items()])
+    files = views.code_files(spark, sf_dir).select("file_id", "code")
+    measured = text.with_token_stats(text.with_line_metrics(files))
+    return rules.with_flags(measured, {**rules.DANGER_FLAGS, **rules.SANITISE_FLAGS}).drop("code")
 
 
 @query(
