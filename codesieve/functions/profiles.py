@@ -82,7 +82,7 @@ def keyword_vector(text: Column, words: tuple[str, ...], ignore_case: bool = Tru
 def keyword_rows(files: DataFrame, keep: tuple[str, ...] = ("file_id",)) -> DataFrame:
     """One row per text and keyword of its language: word, n; files without a profile drop out."""
     lowered = files.select(*keep, F.lower("code").alias("_text"), "language")
-    words = lowered.withColumn("word", F.explode(words_of(F.col("language"), KEYWORDS)))
+    words = lowered.withColumn("word", F.explode_outer(words_of(F.col("language"), KEYWORDS))).where("word IS NOT NULL")
     n = F.coalesce(occurrences(F.col("_text"), F.lower("word")), F.lit(0))
     return words.select(*keep, "language", "word", n.alias("n"))
 

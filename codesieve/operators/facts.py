@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from codesieve.functions.unnest import unnest, unnest_structs
+
 # Texts in a call that mark it as user input.
 INPUT_SOURCES = ("request.args.get", "request.form.get", "request.json.get", "input(")
 
@@ -297,12 +299,12 @@ def tainted() -> Column:
 
 def nodes_table(facts: DataFrame, key: str = "file_id") -> DataFrame:
     """One row per node: key, seq, kind, depth."""
-    return facts.select(key, F.posexplode("nodes").alias("seq", "node")).select(key, "seq", "node.*")
+    return unnest_structs(facts, [key], "nodes", "seq")
 
 
 def calls_table(facts: DataFrame, key: str = "file_id") -> DataFrame:
     """One row per call argument, with the call it belongs to; calls without arguments have none."""
-    calls = facts.select(key, F.posexplode("calls").alias("seq", "call"))
+    calls = unnest(facts, [key], "calls", "call", "seq")
     return calls.select(key, "seq", "call.func", "call.attr", F.posexplode_outer("call.args").alias("pos", "arg")).select(
         key, "seq", "func", "attr", "pos", "arg.*"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.functions.text import before_slashes, lines, strip
+from codesieve.functions.unnest import unnest
 from codesieve.operators.sets import dedupe_first
 
 # Marks in comments, and the file types that are searched.
@@ -38,7 +39,7 @@ def from_next_line(files: DataFrame, keep: tuple[str, ...] = ("file_id",)) -> Da
     # Each line is paired with its successor inside the row, so no ordering shuffle is needed.
     paired = files.withColumn("_lines", lines(F.col("code"))).select(
         *keep,
-        F.posexplode(
+        F.posexplode_outer(
             F.arrays_zip(F.col("_lines").alias("text"), F.slice("_lines", F.lit(2), F.size("_lines")).alias("after"))
         ).alias("_at", "_pair"),
     )
@@ -58,7 +59,7 @@ def from_next_line(files: DataFrame, keep: tuple[str, ...] = ("file_id",)) -> Da
 
 def from_inline_marks(files: DataFrame, keep: tuple[str, ...] = ("file_id",)) -> DataFrame:
     """Rows for ``// bad`` and ``// good`` style marks behind code; ``vulnerable`` wins."""
-    split = files.select(*keep, F.posexplode(lines(F.col("code"))).alias("_at", "text"))
+    split = unnest(files, keep, lines(F.col("code")), "text", "_at")
     likely = split.where(F.contains("text", F.lit("//"))).withColumn("bare", strip(F.col("text")))
     pure = _starts(F.col("bare"), ("*", "//", "/*")) | (F.length("bare") < 5)
     lowered = F.lower("text")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.functions.text import folded
+from codesieve.functions.unnest import unnest_structs
 from codesieve.operators import facts
 from codesieve.operators.rules import text_findings
 
@@ -105,4 +106,4 @@ def with_heuristics(files: DataFrame, match: str = "literal") -> DataFrame:
 
 def findings_rows(files: DataFrame, column: Column, key: str = "file_id") -> DataFrame:
     """One row per finding of an array column, with its position."""
-    return files.select(key, F.posexplode(column).alias("seq", "hit")).select(key, "seq", "hit.*")
+    return unnest_structs(files, [key], column, "seq")

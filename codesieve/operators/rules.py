@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.functions.text import BLANK_CLASS, WORD, WS, folded, is_skipped, lines, portable, strip
+from codesieve.functions.unnest import unnest
 from codesieve.operators.scoring import OTHER_POINTS, SEVERITY_POINTS
 
 
@@ -198,7 +199,7 @@ def line_hits(
     without any hit leave before the rules are told apart. Nothing is shuffled.
     """
     likely = files.withColumn("lowered", folded(F.col("code"))).where(_may_hit(F.col("lowered"), rules))
-    split = likely.select(*keep, F.posexplode(lines(F.col("code"))).alias("at", "text"))
+    split = unnest(likely, keep, lines(F.col("code")), "text", "at")
     lowered = split.withColumn("lowered", folded(F.col("text")))
     live = lowered.where(_may_hit(F.col("lowered"), rules) & ~is_skipped(F.col("text"), skip))
     hits = F.array(
@@ -220,7 +221,7 @@ def line_hits(
             *keep,
             (F.col("at") + 1).alias("line"),
             F.substring(strip(F.col("text")), 1, snippet).alias("snippet"),
-            F.explode(hits).alias("hit"),
+            F.explode_outer(hits).alias("hit"),
         )
         .where("hit IS NOT NULL")
         .select(*keep, "line", "hit.rule_order", "hit.type", "hit.severity", "snippet", "hit.detail")
@@ -370,7 +371,7 @@ def join_rules(files: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("fil
 
     The built-in sets are faster as :func:`line_hits`, because here each pattern is a value of a row.
     """
-    split = files.select(*keep, "language", F.posexplode(lines(F.col("code"))).alias("at", "text"))
+    split = unnest(files, (*keep, "language"), lines(F.col("code")), "text", "at")
     live = split.where(~is_skipped(F.col("text")))
     side = F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
     joined = live.join(side, (live.language == side.language) & F.rlike(live.text, side.pattern))

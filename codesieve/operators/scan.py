@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.functions import languages
+from codesieve.functions.unnest import unnest_structs
 from codesieve.operators import rules, scoring
 
 #: Columns that identify a file in a report.
@@ -37,7 +38,7 @@ def scan(files: DataFrame, probability: Column | None = None, unmapped: str = "k
 
 def findings_table(report: DataFrame, keep: tuple[str, ...] = REPORT_KEY) -> DataFrame:
     """One row per finding of a report."""
-    return report.select(*keep, F.explode("findings").alias("finding")).select(*keep, "finding.*")
+    return unnest_structs(report, keep, "findings")
 
 
 #: A model of this name stands in for a missing Python model.

@@ -1,4 +1,10 @@
 """All registered queries."""
 
-from codesieve.plans import rule_queries, set_queries, source_queries, text_queries  # noqa: F401
+from codesieve.plans import (  # noqa: F401
+    rule_queries,
+    set_queries,
+    source_queries,
+    text_queries,
+    vector_queries,
+)
 from codesieve.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from codesieve.functions.unnest import unnest_structs
 from codesieve.functions.text import folded
 from codesieve.operators import aggregates, rules, scan, scoring
 from codesieve.plans import sql, views
@@ -105,7 +106,7 @@ def _text_rule(name: str, key: str, pieces: list[tuple[str, rules.Rule]]) -> Non
     def run(spark, sf_dir):
         files = views.code_files(spark, sf_dir).withColumn("lowered", folded(F.col("code")))
         found = rules.text_findings(F.col("code"), F.col("lowered"))[key]
-        return files.select("file_id", F.inline(found))
+        return unnest_structs(files, ["file_id"], found)
 
 
 _text_rule("rul_secret_text", "secrets", [(sql.hits("code", r.pattern), r) for r in rules.SECRET_TEXT_RULES])

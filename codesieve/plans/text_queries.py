@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from codesieve.functions.unnest import unnest
 from codesieve.functions import labels, languages, profiles, text
 from codesieve.operators import aggregates, rules, scan, sets, synthesis
 from codesieve.plans import sql, views
@@ -216,7 +217,7 @@ def txt_clean_multi(spark, sf_dir):
 
 @query("txt_lines", with_views("SELECT file_id, line, bare FROM code_lines", "code_lines"))
 def txt_lines(spark, sf_dir):
-    split = views.code_files(spark, sf_dir).select("file_id", F.posexplode(text.lines(F.col("code"))).alias("at", "text"))
+    split = unnest(views.code_files(spark, sf_dir), ["file_id"], text.lines(F.col("code")), "text", "at")
     return split.select("file_id", (F.col("at") + 1).alias("line"), text.strip(F.col("text")).alias("bare"))
 
 
@@ -351,7 +352,7 @@ def feat_lexical(spark, sf_dir):
     ),
 )
 def txt_strip_comment(spark, sf_dir):
-    split = views.code_files(spark, sf_dir).select("file_id", F.posexplode(text.lines(F.col("code"))).alias("at", "text"))
+    split = unnest(views.code_files(spark, sf_dir), ["file_id"], text.lines(F.col("code")), "text", "at")
     return split.select("file_id", (F.col("at") + 1).alias("line"), text.before_slashes(F.col("text")).alias("ahead"))
 
 
