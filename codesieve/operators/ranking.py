@@ -15,6 +15,18 @@ from pyspark.sql import functions as F
 
 DIGIT = 1 << 16
 
+#: Most rows of a table that is sent to all executors.
+SMALL = 10_000
+
+
+def small_side(df: DataFrame, limit: int = SMALL) -> DataFrame:
+    """A table to join with a large one: sent to all executors when it has no more than ``limit`` rows,
+    which are fetched to know; otherwise itself, joined as the planner sees fit."""
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
 
 def offsets_before(cells: DataFrame, digits: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Replace ``measures`` by ``<measure>_before``: their sums over all cells ahead in digit order.
@@ -98,7 +110,8 @@ def hash_cut(df: DataFrame, key: str, by: Sequence[str], need: Column, seed: str
     edge = running.where("_upto - _rows < _need AND _need <= _upto").select(
         *by, "_cell", (F.col("_need") - F.col("_upto") + F.col("_rows")).alias("_rest")
     )
-    inside = hashed.join(edge, [*by, "_cell"]).withColumn(
+    # One cell per group is left to order: only rows of that cell are shuffled.
+    inside = hashed.join(small_side(edge), [*by, "_cell"]).withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*by, "_cell").orderBy("_hash"))
     )
     return inside.where("_rank = _rest").select(*by, F.col("_hash").alias("cut"))

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codesieve.operators.ranking import hash_cut, row_hash, with_row_number
+from codesieve.operators.ranking import hash_cut, row_hash, small_side, with_row_number
 
 # Rows per block, rows drawn per block and in the end, copies of a chosen row.
 BLOCK_ROWS = 10_000
@@ -34,7 +34,7 @@ def block_sample(
     rank = F.row_number().over(Window.partitionBy("block").orderBy("_hash"))
     drawn = keys.withColumn("_rank", rank).where(F.col("_rank") <= per_block)
     chosen = drawn.orderBy(row_hash(key, seed + "b")).limit(in_all).select(key)
-    return df.join(chosen, key, "left_semi")
+    return df.join(F.broadcast(chosen), key, "left_semi")
 
 
 def oversample(df: DataFrame, copies: int = COPIES) -> DataFrame:
@@ -50,7 +50,7 @@ def split(df: DataFrame, key: str, share: float, by: Sequence[str] = (), seed: s
     need = F.ceil(F.lit(share) * F.col("n"))
     cuts = hash_cut(df, key, by, need, seed)
     if by:
-        marked = df.join(cuts, list(by), "left")
+        marked = df.join(small_side(cuts), list(by), "left")
         return marked.withColumn("is_test", F.coalesce(row_hash(key, seed) <= F.col("cut"), F.lit(False))).drop("cut")
     row = cuts.first()
     return df.withColumn("is_test", row_hash(key, seed) <= F.lit(row.cut if row else ""))
@@ -86,4 +86,4 @@ def with_class_weight(df: DataFrame, label: str) -> DataFrame:
     everything = Window.partitionBy()
     weight = F.sum("_rows").over(everything) / (F.count("*").over(everything) * F.col("_rows"))
     weights = counts.withColumn("weight", weight).drop("_rows")
-    return df.join(weights, label)
+    return df.join(small_side(weights), label)

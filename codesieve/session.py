@@ -35,6 +35,13 @@ def local_session(cores: str | int = "*", memory: str = "8g") -> SparkSession:
     return session
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply :data:`SETTINGS` to a session that someone else has built."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
