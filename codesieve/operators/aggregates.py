@@ -26,7 +26,7 @@ def label_counts(df: DataFrame, label: str = "target") -> DataFrame:
 
 
 def top_languages(df: DataFrame, limit: int = TOP_LANGUAGES) -> DataFrame:
-    counted = df.groupBy("language").agg(F.count("*").alias("n"))
+    counted = df.where("language IS NOT NULL").groupBy("language").agg(F.count("*").alias("n"))
     return counted.orderBy(F.desc("n"), "language").limit(limit)
 
 

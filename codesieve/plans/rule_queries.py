@@ -95,6 +95,23 @@ def rul_py_lines(spark, sf_dir):
     return rules.line_hits(files, rules.PYTHON_LINE_RULES, skip=("#",), snippet=100)
 
 
+@query(
+    "rep_python_files",
+    with_views(
+        f"""SELECT file_id, path, language, score, ml_prob, coalesce(findings, '') AS findings,
+        CASE WHEN score > 0.8 THEN 'CRITICAL' WHEN score > 0.6 THEN 'HIGH' WHEN score > 0.4 THEN 'MEDIUM' ELSE 'SAFE' END AS verdict
+        FROM (SELECT file_id, path, language, CAST(0.0 AS DOUBLE) AS ml_prob, findings, coalesce(score, CAST(0 AS DOUBLE)) AS score
+        FROM routed LEFT JOIN (SELECT file_id, string_agg(line || '|' || type || '|' || severity || '|' || snippet, chr(10) ORDER BY line, rule_order) AS findings,
+        max(CAST(CASE severity WHEN 'CRITICAL' THEN 1.0 WHEN 'HIGH' THEN 0.8 WHEN 'MEDIUM' THEN 0.5 WHEN 'LOW' THEN 0.2 ELSE 0 END AS DOUBLE)) AS score
+        FROM ({_py_lines_sql()}) GROUP BY file_id) USING (file_id) WHERE language = 'python')""",
+        "routed",
+    ),
+)
+def rep_python_files(spark, sf_dir):
+    files = _routed(spark, sf_dir).where("language = 'python'").withColumn("ml_prob", F.lit(0.0))
+    return scoring.with_verdict(rules.with_python_findings(files), scan.REPORT_KEY).withColumn("findings", flat_findings())
+
+
 def _text_rule(name: str, key: str, pieces: list[tuple[str, rules.Rule]]) -> None:
     body = " UNION ALL ".join(
         f"SELECT file_id, {q(r.name)} AS name, {q(r.severity)} AS severity, {q(r.detail)} AS detail "
