@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesieve.functions import labels
+from codesieve.session import spread
 
 # Extension, target, comment prefix and body by slot (doc_id modulo 12).
 # ¶ stands for a line feed, {id} for the document number.
@@ -41,7 +42,7 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.replace(F.translate(pick(3), "¶", "\n"), F.lit("{id}"), number)
     prefix = pick(2)
     tail = F.concat(prefix, F.replace(F.col("text"), F.lit("\n"), F.concat(F.lit("\n"), prefix)))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id").select(
         F.col("doc_id").alias("file_id"),
         F.concat(F.lit("src/"), "source", F.lit("/f"), number, F.lit("."), pick(0)).alias("path"),
         pick(0).alias("ext"),
@@ -137,7 +138,7 @@ def marked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Script files with marked lines, one per document."""
     number = F.col("doc_id").cast("string")
     body = F.replace(F.lit(MARKED_BODY.replace("¶", "\n")), F.lit("{id}"), number)
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
         F.col("doc_id").alias("file_id"),
         F.concat(F.lit("rules/javascript/m"), number, F.lit(".js")).alias("path"),
         F.concat(body, F.lit("\n"), "text").alias("code"),
