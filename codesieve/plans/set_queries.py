@@ -11,6 +11,7 @@ from codesieve.plans import sql, views
 from codesieve.plans.registry import query
 from codesieve.plans.sql import draw, q, with_views
 from codesieve.plans.text_queries import LINE_METRICS_SQL, TOKEN_STATS_SQL
+from codesieve.session import materialise
 
 
 def train(spark, sf_dir):
@@ -19,6 +20,11 @@ def train(spark, sf_dir):
     return sets.dedupe_first(rows, ["src_priority", "row_id"])
 
 
+def train_keys(spark, sf_dir):
+    """Keys and labels of the distinct snippets, written once: a split reads them several times."""
+    return materialise(train(spark, sf_dir).select("row_id", "target"), "train_keys")
+
+
 # ---- set operations -------------------------------------------------------------------------
 
 
@@ -260,12 +266,12 @@ def _split_sql(share: float, by: str) -> str:
 
 @query("spl_stratified", _split_sql(0.2, "target"))
 def spl_stratified(spark, sf_dir):
-    return sampling.split(train(spark, sf_dir).select("row_id", "target"), "row_id", 0.2, ["target"])
+    return sampling.split(train_keys(spark, sf_dir), "row_id", 0.2, ["target"])
 
 
 @query("spl_plain", _split_sql(0.25, ""))
 def spl_plain(spark, sf_dir):
-    return sampling.split(train(spark, sf_dir).select("row_id", "target"), "row_id", 0.25)
+    return sampling.split(train_keys(spark, sf_dir), "row_id", 0.25)
 
 
 _SCALED = ("loc", "comments", "size_bytes", "avg_line_length", "total_tokens")
@@ -299,7 +305,7 @@ def prp_scale(spark, sf_dir):
     ),
 )
 def prp_class_weight(spark, sf_dir):
-    rows = train(spark, sf_dir).select("row_id", "target")
+    rows = train_keys(spark, sf_dir)
     return sampling.with_class_weight(rows, "target").select("row_id", "target", "weight")
 
 
