@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import quality_rules, sharding, url_rules
+from codesieve.llm import jaccard_join, quality_rules, sharding, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,3 +114,9 @@ def op7_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of distinct 3-word shingles and component at similarity 0.9 of every document."""
+    return jaccard_join.groups(table(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=90)
