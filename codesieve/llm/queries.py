@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pathlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import jaccard_join, quality_rules, sharding, url_rules
+from codesieve.llm import jaccard_join, quality_rules, sharding, token_rollup, url_rules, warc
+from codesieve.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,3 +122,53 @@ def op7_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of distinct 3-word shingles and component at similarity 0.9 of every document."""
     return jaccard_join.groups(table(spark, sf_dir, "documents", "doc_id", "text"), words=3, percent=90)
+
+
+WARC_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+digests AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(generate_series(0, 31), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST((CAST('0x' || substr(hex, CAST(5 * (k // 4) + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS INT)) & 31 AS INT), 1)), '') AS payload_digest
+  FROM payloads),
+last AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM digests)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to FROM last
+"""
+
+
+@query("op4_warc_normaliser", WARC_SQL)
+def op4_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as it is read back from normalised archives."""
+    return warc.round_trip(spark, table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+#: Rank files of the public vocabularies, first for every document, then for the languages but English.
+TOKENIZERS = {
+    "byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.tiktoken",
+    "byte_bpe_multi_50k": "/opt/tokenizers/byte_bpe_multi_50k.tiktoken",
+}
+
+
+@query("op5_token_rollup")
+def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches: all documents in, the other languages recounted, toxic documents out; two come twice."""
+    first, second = TOKENIZERS
+    ranks = {name: pathlib.Path(path).read_bytes() for name, path in TOKENIZERS.items()}
+    store = Store(spark, "tokens")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    choose = lambda lang: (first,) if lang == "en" else (first, second)
+    counts = store.keep(token_rollup.count_tokens(docs, ranks, choose), "counts")
+    toxic = table(spark, sf_dir, "labels", "doc_id", "toxic").where("toxic = 1").select("doc_id").distinct()
+    change = lambda op, df: df.select(F.lit(op).alias("op"), F.lit(0).alias("seq"), "doc_id", *token_rollup.KEYS, "n_tokens")
+    old, new = counts.where(F.col("tokenizer") == first), counts.where(F.col("tokenizer") == second)
+    batches = {
+        "inserts": change("insert", old),
+        "recounts": change("revise", new),
+        "deletes": change("delete", old.join(toxic, "doc_id", "left_semi")),
+    }
+    rollup = token_rollup.Rollup(spark, store.path("rollup"))
+    for name in ("inserts", "recounts", "recounts", "deletes", "inserts"):
+        rollup.commit(name, batches[name])
+    return rollup.totals()
