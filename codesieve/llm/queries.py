@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import jaccard_join, quality_rules, sharding, token_rollup, url_rules, warc
+from codesieve.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding, token_rollup, url_rules, warc
 from codesieve.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,16 @@ def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name in ("inserts", "recounts", "recounts", "deletes", "inserts"):
         rollup.commit(name, batches[name])
     return rollup.totals()
+
+
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, as they are or with other numbers, names or units."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark", "item_id", "text")).drop("text_key")
+
+
+@query("op8_temperature_mixing")
+def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every time a document is seen in the mixture: epoch of its source, block, and slot in the block."""
+    return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("text_key", "copies")
