@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codesieve.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding, token_rollup, url_rules, warc
+from codesieve.llm import (
+    decontaminate,
+    jaccard_join,
+    mixing,
+    quality_rules,
+    secret_scan,
+    sharding,
+    token_rollup,
+    url_rules,
+    warc,
+)
 from codesieve.llm.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,3 +195,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every time a document is seen in the mixture: epoch of its source, block, and slot in the block."""
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("text_key", "copies")
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in all documents, with the forest's verdict; the source stands for the path."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.col("source").alias("path"))
+    return secret_scan.find_secrets(docs)
