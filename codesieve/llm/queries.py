@@ -15,6 +15,7 @@ from codesieve.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    suffix_dedup,
     token_rollup,
     url_rules,
     warc,
@@ -202,3 +203,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate for a secret in all documents, with the forest's verdict; the source stands for the path."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", F.col("source").alias("path"))
     return secret_scan.find_secrets(docs)
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document once 50-byte strings of smaller documents are taken out."""
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")

@@ -1,10 +1,15 @@
-"""A training corpus from raw documents: each stage works on the written result of the one before."""
+"""A training corpus from raw documents: each stage works on the written result of the one before.
+
+Quality rules reject documents; of each group of near duplicates one stays; documents that hold benchmark items go; the
+sources are mixed to flatter shares, so that a document of a small source may come twice; the mixture is shuffled into
+shards. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codesieve.llm import quality_rules, sharding
+from codesieve.llm import decontaminate, jaccard_join, mixing, quality_rules, sharding
 from codesieve.llm.store import Store
 
 
@@ -13,12 +18,33 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group whose shingles of five words are similar to 0.8 or more."""
+    return jaccard_join.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark items."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, those of small sources up to twice."""
+    return mixing.mixed_rows(docs)
+
+
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the order of their shards."""
+    """The mixture with its shards and slots."""
     return sharding.shuffle(docs)
 
 
-STAGES = [("quality rules", quality), ("sharding", shards)]
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing to target weights", mixture),
+    ("sharding", shards),
+]
 
 #: Near duplicates are closed over chains of links, which SQL expresses only by comparing all pairs.
 ORACLE_SQL = None
@@ -30,4 +56,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, "pipeline")
     for number, (_, stage) in enumerate(STAGES):
         docs = store.keep(stage(spark, docs, sf_dir), f"stage{number}")
+        if number:
+            store.drop(f"stage{number - 1}")
     return docs
