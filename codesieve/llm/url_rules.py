@@ -97,7 +97,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         .agg(F.max("r_verdict").alias("r_verdict"))
     )
     depth = known.agg(
-        F.coalesce(F.max(_labels(F.col("r_host"))), F.lit(0)).alias("labels"),
+        F.coalesce(F.max(_labels(F.col("r_host"))), F.lit(1)).alias("labels"),
         F.coalesce(F.max(_slashes(F.col("r_path"))), F.lit(0)).alias("slashes"),
     ).first()
     keyed = known.withColumn("r_digest", _digest(F.concat_ws("\n", "r_host", folder(F.col("r_path"))))).withColumn(
