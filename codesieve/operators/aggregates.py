@@ -45,17 +45,14 @@ def distinct_labels(df: DataFrame, label: str = "safety") -> DataFrame:
 
 
 def profile(df: DataFrame, language: str = "language") -> DataFrame:
-    """One row: number of rows, column names, rows per language, columns that hint at code.
-
-    ``languages`` is a map with one entry per language, gathered after counting.
-    """
-    per_language = df.groupBy(language).agg(F.count("*").alias("n"))
-    entry = F.struct(F.col(language), F.col("n"))
-    known = F.collect_list(F.when(F.col(language).isNotNull(), entry))
-    return per_language.agg(
-        F.sum("n").cast("bigint").alias("total_records"),
+    """Number of rows, in all (``part`` is ``all``) and per language (``part`` is ``language``), with the names of all
+    columns and of those that hint at code. A row per language: their number has no bound."""
+    counted = df.rollup(language).agg(F.count("*").alias("n"), F.grouping(language).alias("over_all"))
+    return counted.where((F.col("over_all") == 1) | F.col(language).isNotNull()).select(
+        F.when(F.col("over_all") == 1, "all").otherwise("language").alias("part"),
+        F.col(language).alias("language"),
+        "n",
         F.array(*map(F.lit, df.columns)).alias("columns"),
-        F.map_from_entries(F.array_sort(known)).alias("languages"),
         F.array(*map(F.lit, code_columns(df))).cast("array<string>").alias("code_columns"),
     )
 

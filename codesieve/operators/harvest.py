@@ -80,4 +80,5 @@ def _starts(text: Column, marks: tuple[str, ...]) -> Column:
 def finish(rows: DataFrame) -> DataFrame:
     """First row of each text, then only texts longer than ten characters."""
     # The vulnerable mark is read first on a line, so target 1 comes ahead of 0.
-    return dedupe_first(rows, ["file_id", "line_no", -F.col("target")]).where(F.length("code") > MIN_LENGTH)
+    place = F.col("line_no") * 2 + 1 - F.col("target")
+    return dedupe_first(rows, ["file_id", place]).where(F.length("code") > MIN_LENGTH)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from codesieve.session import materialise
+
 DIGIT = 1 << 16
 
 #: Most rows of a table that is sent to all executors.
@@ -20,12 +22,11 @@ SMALL = 10_000
 
 
 def small_side(df: DataFrame, limit: int = SMALL) -> DataFrame:
-    """A table to join with a large one: sent to all executors when it has no more than ``limit`` rows,
-    which are fetched to know; otherwise itself, joined as the planner sees fit."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    """A table to join with a large one: written once, and sent to all executors when it has no more than ``limit``
+    rows. Otherwise it is joined as the planner sees fit, which splits the rows of a hot key between tasks. Runs a job
+    when it is called."""
+    written = materialise(df, "small")
+    return F.broadcast(written) if written.count() <= limit else written
 
 
 def offsets_before(cells: DataFrame, digits: Sequence[str], measures: Sequence[str]) -> DataFrame:

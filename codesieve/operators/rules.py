@@ -353,49 +353,40 @@ def text_findings(code: Column, lowered: Column) -> dict[str, Column]:
 
 
 def rules_table(spark, rules: dict[str, tuple[Rule, ...]] | None = None) -> DataFrame:
-    """Rules as rows, the form in which users hand in their own."""
+    """Rules as rows whose size the planner knows, the form in which users hand in their own."""
     rows = [
-        (language, order, rule.name, rule.severity, portable(rule.pattern))
+        F.struct(
+            F.lit(language).alias("language"),
+            F.lit(order).alias("rule_order"),
+            F.lit(rule.name).alias("type"),
+            F.lit(rule.severity).alias("severity"),
+            F.lit(portable(rule.pattern)).alias("pattern"),
+        )
         for language, group in (rules or LANGUAGE_RULES).items()
         for order, rule in enumerate(group, 1)
     ]
-    return spark.createDataFrame(rows, "language string, rule_order int, type string, severity string, pattern string")
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-#: Rule tables up to this many rows become literals of one projection; larger ones are joined.
-LITERAL_RULES = 500
+#: Copies of each rule, over which the lines of its language are spread.
+RULE_SALTS = 16
 
 
 def join_rules(
-    files: DataFrame,
-    rules: DataFrame,
-    keep: tuple[str, ...] = ("file_id",),
-    snippet: int = 80,
-    literal_rules: int = LITERAL_RULES,
+    files: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("file_id",), snippet: int = 80, salts: int = RULE_SALTS
 ) -> DataFrame:
     """Lines joined with a rule table: equal language, and the pattern is found in the line.
 
-    A pattern that is a value of a row is compiled again for every pair, so a table of few rules is
-    fetched and its patterns become literals, which are compiled once per task.
+    A few languages hold most lines. Lines therefore carry a salt from file and line besides their language, and each
+    rule is repeated for every salt. Whether the rules are sent to the lines is left to the planner and their size.
     """
     split = unnest(files, (*keep, "language"), lines(F.col("code")), "text", "at")
-    live = split.where(~is_skipped(F.col("text")))
+    live = split.where(~is_skipped(F.col("text"))).withColumn("salt", F.pmod(F.xxhash64(*keep, "at"), F.lit(salts)))
     fields = ("rule_order", "type", "severity")
-    few = rules.limit(literal_rules + 1).collect()
-    if 0 < len(few) <= literal_rules:
-        hits = F.array(
-            *[
-                F.when(
-                    (F.col("language") == rule.language) & F.col("text").rlike(rule.pattern),
-                    F.struct(*[F.lit(rule[name]).alias(name) for name in fields]),
-                )
-                for rule in few
-            ]
-        )
-        matched = unnest(live, (*keep, "at", "text"), hits, "rule").select(*keep, "at", "text", "rule.*")
-    else:
-        pair = (live.language == rules.language) & F.rlike(live.text, rules.pattern)
-        matched = live.join(rules, pair).select(*[live[name] for name in (*keep, "at", "text")], *fields)
+    spread = rules.select(
+        "language", *fields, "pattern", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt")
+    )
+    matched = live.join(spread, ["language", "salt"]).where(F.rlike("text", F.col("pattern")))
     return matched.select(
         *keep,
         (F.col("at") + 1).alias("line"),

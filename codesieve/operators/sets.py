@@ -17,16 +17,35 @@ def union_all(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
-def dedupe_first(df: DataFrame, order: Sequence[str | Column], text: str = "code") -> DataFrame:
-    """Keep, of rows with equal text, the one that is first in ``order``.
+#: Decimal digits of a whole number of 64 bits.
+DIGITS = 19
 
-    An aggregate, not a window: copies of one text are reduced inside each task before the shuffle,
-    so a text that fills a third of the table does not end up in one task. Texts are grouped by
-    their SHA-256, which keeps the grouping key short.
+
+def packed_order(order: Sequence[str | Column]) -> Column:
+    """One or two whole-number columns as one number of the same order; nulls come first."""
+    first, *rest = [F.coalesce(F.col(o) if isinstance(o, str) else o, F.lit(-(2**63))) for o in order]
+    wide = first.cast("decimal(19,0)")
+    if not rest:
+        return wide
+    (second,) = rest
+    return (wide * F.lit(str(10**DIGITS)).cast("decimal(20,0)") + second.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def dedupe_first(
+    df: DataFrame, order: Sequence[str | Column], text: str = "code", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Keep, of rows with equal text, the one that is first in ``order`` (one or two whole numbers).
+
+    ``order`` must tell all rows apart. Only SHA-256 digests and packed order numbers are grouped, in a hash aggregate
+    that is reduced inside each task, so a text that fills a third of the table is no hot spot. The rows themselves are
+    fetched by their number; with ``keep``, only those columns are, and a text that is not among them never moves.
     """
-    order_key = F.struct(*order)
-    first = F.min_by(F.struct(*df.columns), order_key).alias("_row")
-    return df.groupBy(F.sha2(F.col(text), 256).alias("_key")).agg(first).select("_row.*")
+    number = packed_order(order)
+    first = df.groupBy(F.sha2(F.col(text), 256).alias("_key")).agg(F.min(number).alias("_first"))
+    columns = [F.col(c) for c in (keep or df.columns)]
+    return df.select(*columns, number.alias("_number")).join(
+        first.select("_first"), F.col("_number") == F.col("_first"), "left_semi"
+    ).drop("_number")
 
 
 def label_conflicts(df: DataFrame, text: str = "code", label: str = "target") -> DataFrame:

@@ -9,8 +9,6 @@ from codesieve.functions.text import fill_template, md5_int
 from codesieve.operators.sets import dedupe_first, union_all
 
 # Number of rows made by default.
-C_ROWS = 15_000
-JS_ROWS = 10_000
 
 # C templates (target, text), words, sizes.
 C_TEMPLATES = (
@@ -53,10 +51,6 @@ def _pick(values: tuple, number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (number % len(values)).cast("int") + 1)
 
 
-def row_keys(spark: SparkSession, rows: int) -> DataFrame:
-    return spark.range(rows).withColumnRenamed("id", "key")
-
-
 def c_rows(keys: DataFrame, key: str = "key", seed: str = "c") -> DataFrame:
     """(key, code, target): a C function with a drawn name and buffer size."""
     template = _draw(key, seed, 0)

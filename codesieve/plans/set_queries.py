@@ -14,15 +14,15 @@ from codesieve.plans.text_queries import LINE_METRICS_SQL, TOKEN_STATS_SQL
 from codesieve.session import materialise
 
 
-def train(spark, sf_dir):
+def train(spark, sf_dir, keep=None):
     """Distinct snippets, each with the label it had first."""
     rows = views.train_raw(spark, sf_dir).where("code IS NOT NULL")
-    return sets.dedupe_first(rows, ["src_priority", "row_id"])
+    return sets.dedupe_first(rows, ["src_priority", "row_id"], keep=keep)
 
 
 def train_keys(spark, sf_dir):
     """Keys and labels of the distinct snippets, written once: a split reads them several times."""
-    return materialise(train(spark, sf_dir).select("row_id", "target"), "train_keys")
+    return materialise(train(spark, sf_dir, keep=("row_id", "target")), "train_keys")
 
 
 # ---- set operations -------------------------------------------------------------------------
@@ -348,7 +348,7 @@ def agg_python_total(spark, sf_dir):
     ),
 )
 def agg_vuln_safe(spark, sf_dir):
-    return aggregates.vulnerable_and_safe(train(spark, sf_dir))
+    return aggregates.vulnerable_and_safe(train(spark, sf_dir, keep=("language", "target")))
 
 
 @query("agg_distinct_labels", with_views("SELECT DISTINCT safety FROM safety_words", "safety_words"))
@@ -357,20 +357,20 @@ def agg_distinct_labels(spark, sf_dir):
 
 
 PROFILE_SQL = with_views(
-    """SELECT (SELECT count(*) FROM train_raw) AS total_records, 'row_id,src_priority,code,language,safety,target' AS columns,
-    'code' AS code_columns, string_agg(language || '=' || n, ',' ORDER BY language) AS languages
-    FROM (SELECT language, count(*) AS n FROM train_raw WHERE language IS NOT NULL GROUP BY language)""",
+    """SELECT part, language, n, 'row_id,src_priority,code,language,safety,target' AS columns, 'code' AS code_columns FROM (
+    SELECT 'all' AS part, NULL AS language, count(*) AS n FROM train_raw UNION ALL
+    SELECT 'language', language, count(*) FROM train_raw WHERE language IS NOT NULL GROUP BY language)""",
     "train_raw",
 )
 
 
 def flat_profile(profile):
-    entry = lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))
     return profile.select(
-        "total_records",
+        "part",
+        "language",
+        "n",
         F.array_join("columns", ",").alias("columns"),
         F.array_join("code_columns", ",").alias("code_columns"),
-        F.array_join(F.transform(F.array_sort(F.map_entries("languages")), entry), ",").alias("languages"),
     )
 
 

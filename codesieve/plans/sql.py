@@ -129,8 +129,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "safety_words": (
         (),
-        """SELECT doc_id AS key, (['safe', ' Vulnerable ', 'unsafe', 'not vulnerable', 'yes', 'unknown', 'high', NULL])[CAST(doc_id % 8 + 1 AS INTEGER)] AS safety
-        FROM documents""",
+        """SELECT doc_id AS key, CASE WHEN quality = 1 THEN 'safe' WHEN quality = 0 THEN ' Vulnerable ' WHEN source = 'src0' THEN 'high'
+        WHEN source = 'src1' THEN NULL WHEN lang = 'en' THEN 'unsafe' WHEN lang = 'de' THEN 'not vulnerable' WHEN lang = 'fr' THEN 'yes'
+        ELSE 'unknown' END AS safety FROM documents LEFT JOIN labels USING (doc_id)""",
     ),
     "fix_pairs": (
         ("code_files",),

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codesieve.functions import labels
-from codesieve.session import spread
 
 # Extension, target, comment prefix and body by slot (doc_id modulo 12).
 # ¶ stands for a line feed, {id} for the document number.
@@ -42,7 +41,7 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.replace(F.translate(pick(3), "¶", "\n"), F.lit("{id}"), number)
     prefix = pick(2)
     tail = F.concat(prefix, F.replace(F.col("text"), F.lit("\n"), F.concat(F.lit("\n"), prefix)))
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("file_id"),
         F.concat(F.lit("src/"), "source", F.lit("/f"), number, F.lit("."), pick(0)).alias("path"),
         pick(0).alias("ext"),
@@ -87,9 +86,19 @@ def train_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def safety_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A free-form label word per document, from its label, language and source."""
-    words = ["safe", " Vulnerable ", "unsafe", "not vulnerable", "yes", "unknown", "high", None]
-    pick = F.element_at(F.array(*[F.lit(w) for w in words]), (F.col("doc_id") % len(words)).cast("int") + 1)
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), pick.alias("safety"))
+    marks = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    word = (
+        F.when(F.col("quality") == 1, "safe")
+        .when(F.col("quality") == 0, " Vulnerable ")
+        .when(F.col("source") == "src0", "high")
+        .when(F.col("source") == "src1", F.lit(None).cast("string"))
+        .when(F.col("lang") == "en", "unsafe")
+        .when(F.col("lang") == "de", "not vulnerable")
+        .when(F.col("lang") == "fr", "yes")
+        .otherwise("unknown")
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return docs.join(marks, "doc_id", "left").select(F.col("doc_id").alias("key"), word.alias("safety"))
 
 
 def fix_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +147,7 @@ def marked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Script files with marked lines, one per document."""
     number = F.col("doc_id").cast("string")
     body = F.replace(F.lit(MARKED_BODY.replace("¶", "\n")), F.lit("{id}"), number)
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("file_id"),
         F.concat(F.lit("rules/javascript/m"), number, F.lit(".js")).alias("path"),
         F.concat(body, F.lit("\n"), "text").alias("code"),

@@ -7,7 +7,5 @@ HARVESTED = "code string, target int, source string"
 FINDINGS = "array<struct<line:int,rule_order:int,type:string,severity:string,snippet:string,detail:string>>"
 REPORT = f"file_id bigint, path string, language string, verdict string, score double, ml_prob double, findings {FINDINGS}"
 GATE = "file string, verdict string, score double"
-PROFILE = (
-    "total_records bigint, columns array<string>, languages map<string,bigint>, code_columns array<string>"
-)
+PROFILE = "part string, language string, n bigint, columns array<string>, code_columns array<string>"
 COMMITS = "sha string, message string"

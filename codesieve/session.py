@@ -42,16 +42,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small table over all cores when it arrives in fewer splits than there are cores.
-
-    A table of a few megabytes in one row group would be worked on by one core. Large tables have
-    splits in plenty and are left as they lie.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -59,7 +49,7 @@ def scratch_root(spark: SparkSession) -> str:
     setting is refused, because a machine-local folder is not seen by other executors.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     if not context.master.startswith("local"):

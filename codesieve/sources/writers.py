@@ -5,6 +5,7 @@ from __future__ import annotations
 import pathlib
 from collections.abc import Iterable
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, Row
 
 # The CSV writer cuts blanks by default, which would change code.
@@ -43,19 +44,27 @@ def commits_json(df: DataFrame, path: str) -> None:
     df.write.partitionBy("repo").json(path)
 
 
+def inside(path: str) -> str:
+    """``path`` if it stays below the folder it is joined to."""
+    parts = pathlib.PurePosixPath(path)
+    if parts.is_absolute() or ".." in parts.parts:
+        raise ValueError(f"{path!r} leaves its folder")
+    return path
+
+
 def source_files(files: DataFrame, root: str) -> None:
     """Write each row as a file of its own, ``root`` joined with its ``path``.
 
-    For folders mounted on every executor. A file written twice by a retried task holds the same text.
+    ``root`` is a folder that all executors reach, as a path or a URI. A path that would leave it is refused. A file
+    written twice by a retried task holds the same text.
     """
-    if "://" in root:
-        raise ValueError("source files are written to a mounted folder, not to a URL")
-    base = root.removeprefix("file:")
 
     def write(rows: Iterable[Row]) -> None:
+        system, base = fs.FileSystem.from_uri(root) if ":" in root else (fs.LocalFileSystem(), root)
         for row in rows:
-            target = pathlib.Path(base) / row.path
-            target.parent.mkdir(parents=True, exist_ok=True)
-            target.write_bytes(row.code.encode("utf-8"))
+            target = f"{base.rstrip('/')}/{inside(row.path)}"
+            system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            with system.open_output_stream(target, compression=None) as out:
+                out.write(row.code.encode("utf-8"))
 
     files.select("path", "code").foreachPartition(write)

@@ -47,7 +47,11 @@ def dedupe(rows: DataFrame, text: str = "code", time: str = "ts", within: str =
 
 
 def count_windows(events: DataFrame, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Events per kind and tumbling window; a window is final once the watermark has passed it."""
+    """Events per kind and tumbling window; a window is final once the watermark has passed it.
+
+    In append mode the windows that the watermark has not passed at the end of a run are held back until later events
+    move it on; :func:`open_windows` counts those of a finished run from the table.
+    """
     window = F.window("ts", width)
     counted = events.withWatermark("ts", late).groupBy(window, "event_type").agg(F.count("*").alias("n"))
     return counted.select(
@@ -55,6 +59,13 @@ def count_windows(events: DataFrame, width: str = "1 hour", late: str = "1 hour"
     )
 
 
+def open_windows(events: DataFrame, closed: DataFrame, width: str = "1 hour") -> DataFrame:
+    """The windows of ``events``, as a table, that are not among the ``closed`` ones of :func:`count_windows`."""
+    counted = events.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"))
+    flat = counted.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "n")
+    return flat.join(closed, ["window_start", "event_type"], "left_anti")
+
+
 def through_stream(
     spark: SparkSession, source: DataFrame, transform: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
 ) -> DataFrame:

@@ -66,11 +66,13 @@ def test_var_rule(spark, uses, severity):
     assert found is None or f" {uses - 1} usos" in found.snippet
 
 
-@pytest.mark.parametrize("literal_rules", [500, 0])
-def test_rule_join_equals_built_in_sets(spark, literal_rules):
+@pytest.mark.parametrize("times", [1, 40])
+def test_rule_join_equals_built_in_sets(spark, times):
     rows = [(i, path, code) for i, (path, code, _) in enumerate(CASES)]
     files = scan.route(spark.createDataFrame(rows, "file_id bigint, path string, code string"))
-    table = rules.rules_table(spark)
-    joined = rules.join_rules(files, table, literal_rules=literal_rules).select("file_id", "type").collect()
+    table = rules.rules_table(spark, {k: group * times for k, group in rules.LANGUAGE_RULES.items()})
+    result = rules.join_rules(files, table)
+    assert "BroadcastHashJoin" in result._jdf.queryExecution().executedPlan().toString()
+    joined = result.select("file_id", "type").distinct().collect()
     wanted = [(i, t) for i, (_, _, types) in enumerate(CASES) for t in types]
     assert sorted(map(tuple, joined)) == sorted(wanted)
