@@ -66,8 +66,10 @@ def shuffle(docs: DataFrame, shards: int = 8, seed: int = SEED, bucket_bytes: in
     gathered = _scatter(docs, buckets, seed).groupBy("bucket").agg(F.sort_array(F.collect_list("item")).alias("items"))
     mixed = gathered.select("bucket", F.shuffle("items", F.lit(seed)).alias("items"))
     flat = mixed.select("bucket", F.posexplode("items").alias("place", "item")).select("bucket", "place", "item.record")
-    written = Store(docs.sparkSession, "shards").keep(flat, "buckets")
-    first = _offsets(written.groupBy("bucket").agg(F.count("*").alias("n")))
+    store = Store(docs.sparkSession, "shards")
+    written = store.keep(flat, "buckets")
+    # A row per bucket: written, so that the planner knows its size and sends it to the records.
+    first = store.keep(_offsets(written.groupBy("bucket").agg(F.count("*").alias("n"))), "offsets")
     rank = F.col("first") + F.col("place")
     return written.join(first, "bucket").select(
         "record.*", F.pmod(rank, F.lit(shards)).cast("int").alias("shard"), F.floor(rank / shards).cast("long").alias("slot")
