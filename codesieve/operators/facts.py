@@ -302,9 +302,9 @@ def nodes_table(facts: DataFrame, key: str = "file_id") -> DataFrame:
     return unnest_structs(facts, [key], "nodes", "seq")
 
 
-def calls_table(facts: DataFrame, key: str = "file_id") -> DataFrame:
-    """One row per call argument, with the call it belongs to; calls without arguments have none."""
-    calls = unnest(facts, [key], "calls", "call", "seq")
-    return calls.select(key, "seq", "call.func", "call.attr", F.posexplode_outer("call.args").alias("pos", "arg")).select(
-        key, "seq", "func", "attr", "pos", "arg.*"
+def calls_table(facts: DataFrame, keep: tuple[str, ...] = ("file_id",)) -> DataFrame:
+    """One row per call argument, with the call it belongs to and ``keep``; calls without arguments have none."""
+    calls = unnest(facts, keep, "calls", "call", "seq")
+    return calls.select(*keep, "seq", "call.func", "call.attr", F.posexplode_outer("call.args").alias("pos", "arg")).select(
+        *keep, "seq", "func", "attr", "pos", "arg.*"
     )

@@ -104,6 +104,6 @@ def with_heuristics(files: DataFrame, match: str = "literal") -> DataFrame:
     return lowered.withColumn("heuristics", F.when(F.col("parse_ok"), found).otherwise(broken)).drop("_lowered")
 
 
-def findings_rows(files: DataFrame, column: Column, key: str = "file_id") -> DataFrame:
+def findings_rows(files: DataFrame, column: Column, keep: tuple[str, ...] = ("file_id",)) -> DataFrame:
     """One row per finding of an array column, with its position."""
-    return unnest_structs(files, [key], column, "seq")
+    return unnest_structs(files, keep, column, "seq")

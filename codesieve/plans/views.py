@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from codesieve.functions import labels
 
-# Extension, target, comment prefix and body by slot (doc_id modulo 12).
+# Extension, target, comment prefix and body by slot (doc_id modulo their number).
 # ¶ stands for a line feed, {id} for the document number.
 TEMPLATES = (
     ("py", 1, "# ", 'import os¶def run_{id}(path):¶    # list it¶    os.system("ls " + path)'),
@@ -26,6 +26,20 @@ TEMPLATES = (
     ("php", 1, "// ", '<?php¶$q = $_GET["q"];¶eval($q);'),
     ("md", 0, "", "Notes {id}"),
     ("py", 0, "", "def broken_{id}(:"),
+    ("py", 1, "# ", 'import hashlib, marshal, random, subprocess, yaml¶class Job_{id}:¶    """Runs jobs."""¶    def run(self, cmd):¶        subprocess.call("x " + cmd, shell=True)¶        return hashlib.md5(cmd).hexdigest()¶    async def load(self, data):¶        yaml.load(data)¶        marshal.loads(data)¶        pick = random.choice(data)¶        eval(pick)¶        exec(pick)¶        return compile(pick, "f", "eval")'),
+    ("py", 1, "# ", 'from flask import request¶token = "abcdef123456"¶secret_key = \'k\'¶def page_{id}(cur):¶    user = request.form.get("u")¶    cur.execute("SELECT \'" + user + "\'")¶    cur.execute(f"SELECT {user}")¶    cur.executemany(user, [])¶    os.system(user)¶    open(user)¶    return f\'<p>{user}</p>\'¶app.run(debug=True)'),
+    ("py", 0, "# ", 'import html¶def show_{id}(value, cur):¶    assert value¶    if not isinstance(value, str):¶        raise TypeError("x")¶    try:¶        safe = html.escape(value)¶        cur.execute("SELECT ?", (safe,))¶    except ValueError as problem:¶        safe = ""¶    for part in safe.split():¶        while part and value:¶            part = part[1:]¶    def inner(x):¶        return [y for y in x if y or not x]¶    return inner(safe)'),
+    ("py", 1, "# ", 'from Crypto.Cipher import DES¶from xml.etree import ElementTree as etree¶def read_{id}(text, key):¶    cipher = DES.new(key, DES.MODE_ECB)¶    etree.fromstring(text)¶    name = input("n")¶    other = name¶    subprocess.run(other)¶    with open(key) as f:¶        os.remove(other)¶    return cipher if name else lambda x: x + 1'),
+    ("py", 0, "# ", 'pickled_{id} = 1¶executed = "no"¶print("os_system " + executed)¶debugging = True¶names = [n.upper() for n in ("a", "b")]¶match = {1: 2}¶open("fixed.txt")¶cursor.execute("SELECT 1")'),
+    ("java", 1, "// ", 'public class C{id} {¶  String password = "hunter";¶  void q(String x) throws Exception {¶    stmt.executeQuery("SELECT " + x);¶    Object o = in.readObject();¶  }¶}'),
+    ("java", 0, "// ", 'public class D{id} {¶  void q(String passwords) throws Exception {¶    con.prepareStatement("SELECT ?");¶    Runtime.getRuntime().exec("ls");¶  }¶}'),
+    ("c", 1, "// ", 'void list_{id}(char *d) {¶  system("ls " + d);¶  sprintf(b, "%s", d);¶}'),
+    ("c", 0, "// ", 'void show_{id}(char *d) {¶  printf("%s", d);¶  strncpy(b, d, 4);¶  ecosystem_of(d);¶}'),
+    ("js", 1, "// ", 'const run{id} = (x) => eval(x);¶child_process.exec("ls " + run{id});¶o.__proto__.y = 1;¶const d = <p dangerouslySetInnerHTML={x} />;'),
+    ("js", 1, "// ", 'var v0 = 0;¶var v1 = 1;¶var v2 = 2;¶var v3 = 3;¶var v4 = 4;¶var v5 = 5;¶var v6 = 6;¶var v7 = 7;¶var v8 = 8;¶var v9 = 9;¶var v10 = 10;¶var v11 = 11;'),
+    ("js", 0, "// ", 'var w0 = 0;¶var w1 = 1;¶var w2 = 2;¶var w3 = 3;¶var w4 = 4;'),
+    ("js", 0, "// ", 'let a{id} = 1;¶const variable = "evaluate";¶respawned(a{id});'),
+    ("php", 0, "// ", '<?php¶$q = "fixed {id}";¶echo htmlspecialchars($q);'),
 )
 
 
