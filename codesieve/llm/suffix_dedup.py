@@ -49,8 +49,8 @@ GRAM = 20
 SHALLOW = 24
 BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 8 << 20
-#: Long documents are worked on in overlapping pieces of so many strings.
-PIECE = 1 << 20
+#: A block is worked on in pieces of so many places, which fit a processor's cache.
+PIECE = 1 << 17
 KEY_BITS = 48
 NO_ID = np.int64(2**63 - 1)
 
@@ -67,19 +67,19 @@ _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 def words_at(data: np.ndarray) -> np.ndarray:
     """The eight bytes from each place on as a number in the order of the bytes; beyond the end they are 0."""
-    words = np.zeros(len(data) + 64, np.uint64)
-    words[: len(data)] = data
-    for count in (1, 2, 4):
-        words[:-count] = words[:-count] << np.uint64(8 * count) | words[count:]
-    return words
+    padded = np.zeros(len(data) + 72, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 64,), ">u8", padded, strides=(1,)).astype(np.uint64)
 
 
 def string_hashes(words: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
     """A hash of the ``length`` bytes (8 at least) from each place on."""
     total = np.full(len(places), length, np.uint64)
     for depth in [*range(0, length - 7, 8), length - 8]:
-        total = mix(total * _A + words[places + depth])
-    return total
+        total ^= words[places + depth]
+        total *= _A
+        total ^= total >> np.uint64(31)
+    return mix(total)
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -100,7 +100,7 @@ def sort_suffixes(words: np.ndarray, places: np.ndarray, length: int) -> tuple[n
         several[:-1] |= several[1:]
         at = np.flatnonzero(several)
         key = words[places[order[at]] + depth]
-        by = np.lexsort((key, group[at]))
+        by = np.lexsort((key, group[at])) if depth else np.argsort(key)
         order[at] = order[at[by]]
         new = _runs(group)
         new[at] |= _runs(key[by])
@@ -149,6 +149,19 @@ def _blind_tries(words, places, length, shallow, order, group) -> tuple[np.ndarr
     return order, np.cumsum(new) - 1
 
 
+def _gram_hashes(first: np.ndarray, middle: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hashes of grams from the three words that cover them."""
+    total = first * _A
+    total += middle
+    total ^= total >> np.uint64(29)
+    total *= _B
+    total += last
+    total ^= total >> np.uint64(32)
+    total *= _A
+    total ^= total >> np.uint64(29)
+    return total
+
+
 class Block:
     """Documents of a block, and the units of their strings."""
 
@@ -161,18 +174,21 @@ class Block:
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
         self.words = words_at(self.data)
+        assert length - GRAM <= 32, "the words at the end of a unit must reach back to its first string"
         found = [self._units(*piece) for piece in self._pieces()]
         columns = zip(*found) if found else [np.zeros(0, np.int64)] * 4
         self.low, self.high, self.anchor, self.doc = (np.concatenate(c) if found else c for c in columns)
         self.id = self.ids[self.doc]
-        first, last = (string_hashes(self.words, at, length) for at in (self.low, self.high))
+        # The first string and the words that end with the last one cover the unit.
+        tail = [self.words[self.high + depth] for depth in range(length - 8, max(-1, length - 8 * 5), -8)]
         ranges = (self.high - self.low).astype(np.uint64) * _A + (self.anchor - self.low).astype(np.uint64) * _B
-        self.unit_hash = mix(first ^ mix(last + ranges))
+        for word in tail:
+            ranges = mix(ranges ^ word)
+        self.unit_hash = mix(string_hashes(self.words, self.low, length) ^ ranges)
         self.gram = self._grams(self.anchor) >> np.uint64(64 - KEY_BITS)
 
     def _grams(self, places) -> np.ndarray:
-        w = self.words
-        return mix(mix(w[places] * _A + w[places + 8]) * _B + w[places + (GRAM - 8)])
+        return _gram_hashes(self.words[places], self.words[places + 8], self.words[places + (GRAM - 8)])
 
     def _pieces(self) -> Iterator[tuple[int, int]]:
         """Ranges of places: of many whole documents, or parts of a long one."""
@@ -186,48 +202,57 @@ class Block:
 
     def _units(self, low: int, high: int) -> tuple[np.ndarray, ...]:
         """Units of the strings that start in ``low .. high``: first and last start, anchor, document."""
-        window = self.length - GRAM + 1
-        reach = min(len(self.data), high + self.length)
-        place = np.arange(low, reach)
-        doc = np.searchsorted(self.ends, place, "right")
-        end = self.ends[np.minimum(doc, len(self.ends) - 1)]
-        grams = self._grams(place)
-        grams[place + GRAM > end] = np.uint64(2**64 - 1)
+        length, window = self.length, self.length - GRAM + 1
+        reach = min(len(self.data), high + length)
+        w = self.words
+        grams = _gram_hashes(w[low:reach], w[low + 8 : reach + 8], w[low + GRAM - 8 : reach + GRAM - 8])
+        ends = self.ends[np.searchsorted(self.ends, low, "right") : np.searchsorted(self.ends, reach, "left") + 1]
+        valid = np.ones(high - low, bool)
+        for back in range(1, length):  # places too near to the end of their document
+            at = ends - back - low
+            valid[at[(at >= 0) & (at < len(valid))]] = False
+            if back < GRAM:
+                grams[at[(at >= 0) & (at < len(grams))]] = np.uint64(2**64 - 1)
         least, span = grams, 1
         while span * 2 <= window:
             least, span = np.minimum(least[:-span], least[span:]), span * 2
         if span < window:
             least = np.minimum(least[: len(least) - (window - span)], least[window - span :])
         count = min(high - low, len(least))
-        valid = (place + self.length <= end)[:count]
-        least = least[:count]
-        starts = np.flatnonzero(valid)
-        if not len(starts):
-            return (starts,) * 4
+        valid, least = valid[:count], least[:count]
+        if not valid.any():
+            return (np.zeros(0, np.int64),) * 4
         # A unit ends where the document does, where the smallest hash changes, or where its place is left behind.
-        value = least[starts]
-        new = np.ones(len(starts), bool)
-        new[1:] = (value[1:] != value[:-1]) | (starts[1:] != starts[:-1] + 1) | (grams[starts[:-1]] == value[:-1])
-        first = starts[new]
-        last = np.append(starts[np.flatnonzero(new)[1:] - 1], starts[-1])
+        new = valid.copy()
+        new[1:] &= ~valid[:-1] | (least[1:] != least[:-1]) | (grams[: count - 1] == least[:-1])
+        stop = valid.copy()
+        stop[:-1] &= ~valid[1:] | new[1:]
+        first, last = np.flatnonzero(new), np.flatnonzero(stop)
+        value = least[first]
         anchor = np.full(len(first), -1)
-        left = np.arange(len(first))
+        # The place that is left behind is the anchor; a unit that ends otherwise has it further on.
+        behind = grams[last] == value
+        anchor[behind] = last[behind]
+        left = np.flatnonzero(~behind)
         for offset in range(window):
-            hit = grams[first[left] + offset] == least[first[left]]
+            if not len(left):
+                break
+            hit = grams[first[left] + offset] == value[left]
             anchor[left[hit]] = first[left[hit]] + offset
             left = left[~hit]
-        return first + low, last + low, anchor + low, doc[first]
+        return first + low, last + low, anchor + low, np.searchsorted(self.ends, first + low, "right")
 
     def asked_grams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct grams in order, what a unit of each hashes to, and two flags: several units, several documents."""
-        order = np.lexsort((self.unit_hash, self.gram))
+        order = np.argsort(self.gram)
         gram, unit, doc = self.gram[order], self.unit_hash[order], self.doc[order]
         at = np.flatnonzero(_runs(gram)) if len(gram) else np.zeros(0, np.int64)
         if not len(at):
             return gram, unit.astype(np.uint32), np.zeros(0, np.uint8)
-        several = np.minimum.reduceat(unit, at) != np.maximum.reduceat(unit, at)
+        least = np.minimum.reduceat(unit, at)
+        several = least != np.maximum.reduceat(unit, at)
         shared = np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)
-        return gram[at], (unit[at] >> np.uint64(32)).astype(np.uint32), (several * 2 + shared).astype(np.uint8)
+        return gram[at], (least >> np.uint64(32)).astype(np.uint32), (several * 2 + shared).astype(np.uint8)
 
     def asked_strings(self, grams: np.ndarray, flags: np.ndarray) -> Questions:
         """What to ask about, given the answers to :meth:`asked_grams`."""
