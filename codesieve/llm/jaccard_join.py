@@ -2,21 +2,21 @@
 
 Shingles are ordered by their hash. A document of ``n`` shingles whose partners must share ``o`` of them can only
 have partners that share at least ``l`` shingles within its first ``n - o + l`` (and theirs): the prefix may be
-lengthened, and then more matches may be asked for. How far, each document decides by its estimated cost:
-probing costs the lengths of the lists its prefix shingles stand in, verifying costs its size times the candidates,
-of which there are at most the listed matches divided by the matches asked for.
-
-A shingle in more than ``long_list`` stored lists is costly. It is not probed: a document that has ``h`` costly
-shingles in its prefix lengthens it until it asks for ``l > h`` matches, so a partner must share ``l - h`` shingles
-that are not costly. Documents that run out of stored shingles first (most are members of large groups of near
-copies) are *exhausted*, and found by their costly shingles instead.
+lengthened, and then more matches may be asked for. Every document's stored prefix is indexed; how much of it a document
+looks up, it decides by its estimated cost. Looking up costs the lengths of the lists its shingles stand in, verifying
+costs its size times the candidates, of which there are at most the listed matches divided by the matches asked for. A
+prefix lengthened to ``l`` matches may leave its ``k < l`` longest lists aside and ask for the other ``l - k``: so a
+document with common shingles in its prefix lengthens it until it can do without them.
 
 Large groups are never spelled out in pairs:
 
 * Documents with equal shingle sets are one class with one representative; only representatives are joined.
-* Every shingle's list is first linked to one pivot of the list, verified, and closed to components. After that
-  only pairs across components are made: for shingles that are not costly their lists are short by definition,
-  and for exhausted documents the components present in a list are paired before their members are.
+* Every shingle's list is first linked to one pivot, the most central member, if both share most of their stored
+  prefixes. The components of these unverified links are *clusters*.
+* Within a cluster, members are first verified against their pivots and closed to components. What is left in different
+  components is compared chunk by chunk: a task gets two chunks of bounded size, counts shared shingles in an inverted
+  index and returns verified links only. A cluster whose members are all linked with its pivot costs nothing here.
+* Across clusters, matches are looked up in the lists: the clusters in a list are paired before their members are.
 
 Each pair is verified on all shingles of both texts. The links found connect the same documents as all pairs of
 similar documents would.
@@ -28,6 +28,7 @@ their row is a component of its own; repeated rows are members of one class; a c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,11 +42,11 @@ from codesieve.llm.store import Store
 
 WORDS = 5
 PERCENT = 80
-#: Lists longer than this are not probed.
-LONG_LIST = 64
-
+#: Documents of a cluster that are compared with as many others in one task.
+CHUNK = 256
 SKETCH = "row long, doc_id long, text_key long, n int, set_a long, set_b long, tokens array<long>"
-INDEX = "node long, n int, ask int, exhausted boolean, token long, costly boolean, base boolean"
+INDEX = "node long, n int, stored int, central int, token long, place int"
+PROBES = "node long, n int, label long, ask int, token long"
 
 
 def required(n, percent: int):
@@ -53,6 +54,17 @@ def required(n, percent: int):
     return -(-n * percent // 100)
 
 
+def prefix_length(n: int, percent: int) -> int:
+    """Shingles of the shortest prefix, which has to share one."""
+    return n - required(n, percent) + 1
+
+
+def stored_length(n: int, percent: int) -> int:
+    """Shingles of the longest prefix, which is indexed."""
+    need = prefix_length(n, percent)
+    return min(n, need + max(24, need // 2))
+
+
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text. ASCII letters count as small ones."""
     for part in bytetext.slices(column):
@@ -83,10 +95,9 @@ def _sketcher(words: int, percent: int) -> Callable:
             sizes, keys, heads = [], [], []
             for shingles in shingle_sets(batch.column("text"), words):
                 n = len(shingles)
-                need = n - required(n, percent) + 1
                 sizes.append(n)
                 keys.append(_set_keys(shingles))
-                heads.append(shingles[: need + max(4, need // 2)])
+                heads.append(shingles[: stored_length(n, percent)])
             offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
             tokens = bytetext.to_long(np.concatenate(heads)) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -105,55 +116,78 @@ def _sketcher(words: int, percent: int) -> Callable:
     return sketch
 
 
-def _adapter(percent: int, long_list: int) -> Callable:
-    """Chooses each document's prefix from the lists its stored shingles stand in."""
-
-    def choose(n: int, places: np.ndarray, lengths: np.ndarray, stored: int) -> tuple[int, int]:
-        """Length of the prefix, and the matches to ask for (0: exhausted)."""
-        need = n - required(n, percent) + 1
-        costly = np.zeros(stored, np.int64)
-        probes = np.zeros(stored, np.int64)
-        costly[places] = lengths > long_list
-        probes[places] = np.where(lengths > long_list, 0, lengths - 1)
-        costly, probes = costly.cumsum()[need - 1 :], probes.cumsum()[need - 1 :]
-        ask = np.arange(1, len(costly) + 1) - costly
-        cost = np.where(ask > 0, probes + n * probes / np.maximum(ask, 1), np.inf)
-        best = int(cost.argmin())
-        return (need + best, int(ask[best])) if ask[best] > 0 else (need, 0)
+def _adapter(percent: int) -> Callable:
+    """Chooses what each document looks up from the lists its stored shingles stand in, less its own cluster's members."""
+
+    def choose(n: int, places: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, int]:
+        """The shingles to look up, and the matches to ask for."""
+        # The smallest partner has the shortest stored prefix, so both reach what it reaches.
+        least = required(n, percent)
+        reach = stored_length(least, percent) - prefix_length(least, percent) + 1
+        best = (np.inf, np.zeros(0, np.int64), 1)
+        for matches in sorted({1, max(1, reach // 4), max(1, reach // 2), reach}):
+            inside = np.flatnonzero(places < prefix_length(n, percent) + matches - 1)
+            inside = inside[np.argsort(lengths[inside], kind="stable")]
+            listed = np.concatenate([[0], np.cumsum(lengths[inside] - 1)])
+            aside = np.arange(min(matches, len(inside) + 1))
+            listed, ask = listed[len(inside) - aside], matches - aside
+            cost = listed + n * listed / ask
+            k = int(cost.argmin())
+            if cost[k] < best[0]:
+                best = (cost[k], inside[: len(inside) - k], matches - k)
+        return best[1], best[2]
 
     def adapt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns: dict[str, list] = {name: [] for name in ("node", "n", "ask", "exhausted", "token", "costly", "base")}
-            nodes, sizes, stored = (batch.column(c).to_pylist() for c in ("node", "n", "stored"))
-            hits = batch.column("hits")
-            offsets = hits.offsets.to_numpy()
-            flat = hits.flatten()
+            counts, offsets, flat = _hits(batch)
             place, length, token = (flat.field(f).to_numpy() for f in ("place", "length", "token"))
-            offsets = offsets - offsets[0]
-            for i, (node, n) in enumerate(zip(nodes, sizes)):
+            found, asks = [], np.ones(len(counts), np.int32)
+            for i, n in enumerate(batch.column("n").to_pylist()):
                 here = slice(offsets[i], offsets[i + 1])
-                prefix, ask = choose(n, place[here], length[here], stored[i])
-                inside = place[here] < prefix
-                count = int(inside.sum())
-                columns["node"].append(np.full(count, node, np.int64))
-                columns["n"].append(np.full(count, n, np.int32))
-                columns["ask"].append(np.full(count, ask, np.int32))
-                columns["exhausted"].append(np.full(count, ask == 0))
-                columns["token"].append(token[here][inside])
-                columns["costly"].append(length[here][inside] > long_list)
-                columns["base"].append(place[here][inside] < n - required(n, percent) + 1)
-            if nodes:
-                yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v)) for k, v in columns.items()})
+                chosen, asks[i] = choose(n, place[here], length[here])
+                found.append(offsets[i] + chosen)
+            sizes = [len(f) for f in found]
+            again = lambda values: pa.array(np.repeat(values, sizes))
+            at = np.concatenate(found) if found else np.zeros(0, np.int64)
+            own = [again(batch.column(c).to_numpy()) for c in ("node", "n", "label")]
+            yield pa.RecordBatch.from_arrays([*own, again(asks), pa.array(token[at])], ["node", "n", "label", "ask", "token"])
 
     return adapt
 
 
-def _verifier(words: int, percent: int) -> Callable:
+def _hits(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.StructArray]:
+    """Lengths, offsets and elements of the lists in ``hits``."""
+    hits = batch.column("hits")
+    offsets = hits.offsets.to_numpy()
+    return np.diff(offsets), offsets - offsets[0], hits.flatten()
+
+
+def _centrality(percent: int) -> Callable:
+    """Index rows with how long the lists of a document's stored shingles are on average, as logarithms."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, offsets, flat = _hits(batch)
+            place, length, token = (flat.field(f) for f in ("place", "length", "token"))
+            sums = np.concatenate([[0], np.cumsum(np.log2(length.to_numpy()))])
+            sizes = batch.column("n").to_pylist()
+            stored = np.array([stored_length(n, percent) for n in sizes], np.int32)
+            central = ((sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(stored, 1) * 1_000_000).astype(np.int32)
+            again = lambda values: pa.array(np.repeat(values, counts))
+            yield pa.RecordBatch.from_arrays(
+                [*[again(batch.column(c).to_numpy()) for c in ("node", "n")], again(stored), again(central), token, place],
+                ["node", "n", "stored", "central", "token", "place"],
+            )
+
+    return measure
+
+
+def _verifier(percent: int) -> Callable:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, second = shingle_sets(batch.column("text_a"), words), shingle_sets(batch.column("text_b"), words)
+            sets = [[np.frombuffer(s, np.uint64) for s in batch.column(c).to_pylist()] for c in ("set_a", "set_b")]
             linked = []
-            for x, y in zip(first, second):
+            for x, y in zip(*sets):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(
@@ -163,11 +197,51 @@ def _verifier(words: int, percent: int) -> Callable:
     return verify
 
 
+def _chunk_verifier(percent: int) -> Callable:
+    """Links between the documents of two chunks, or of one with itself."""
+
+    def pairs(table: pa.Table) -> Iterator[tuple[int, int]]:
+        node, label, chunk, left = (table.column(c).to_numpy() for c in ("node", "label", "chunk", "left"))
+        sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        shingle, number = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        by = np.argsort(number, kind="stable")
+        cuts = np.searchsorted(number[by], np.arange(len(shingle) + 1))
+        holders = owner[by]
+        lengths = np.diff(cuts)
+        starts = np.cumsum(sizes) - sizes
+        for a in np.flatnonzero(chunk == left).tolist():
+            mine = number[starts[a] : starts[a] + sizes[a]]
+            count = lengths[mine]
+            at = np.repeat(cuts[mine] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            shared = np.bincount(holders[at], minlength=len(sets))
+            linked = (100 * shared >= percent * (sizes + sizes[a] - shared)) & (label != label[a])
+            for b in np.flatnonzero(linked).tolist():
+                yield node[a], node[b]
+
+    def verify(table: pa.Table) -> pa.Table:
+        found = [(min(a, b), max(a, b)) for a, b in pairs(table)]
+        a, b = zip(*found) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return verify
+
+
+def _set_packer(words: int) -> Callable:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s.tobytes() for s in shingle_sets(batch.column("text"), words)]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return write
+
+
 class Join:
     """One run over ``docs`` (``doc_id, text``): classes, links between their representatives, components."""
 
-    def __init__(self, docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST):
-        self.words, self.percent, self.long_list = words, percent, long_list
+    def __init__(self, docs: DataFrame, words: int = WORDS, percent: int = PERCENT):
+        self.words, self.percent = words, percent
         self.store = Store(docs.sparkSession, "jaccard")
         text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key)
@@ -182,71 +256,136 @@ class Join:
         return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
 
     def _index(self, nodes: DataFrame) -> DataFrame:
-        """The prefix shingles of every representative that some other one has stored too."""
+        """The stored shingles of every representative that some other one has stored too."""
         # The most similar set that is another one has a single shingle more.
         able = nodes.where(100 * F.col("n") >= self.percent * (F.col("n") + 1)).select("node", "n", "tokens")
-        rows = able.select("node", "n", F.size("tokens").alias("stored"), F.posexplode("tokens").alias("place", "token"))
+        rows = able.select("node", "n", F.posexplode("tokens").alias("place", "token"))
         lists = rows.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
-        hits = rows.join(lists, "token").groupBy("node", "n", "stored")
+        hits = rows.join(lists, "token").groupBy("node", "n")
         listed = hits.agg(F.collect_list(F.struct("place", "length", "token")).alias("hits"))
-        return listed.mapInArrow(_adapter(self.percent, self.long_list), INDEX)
+        return listed.mapInArrow(_centrality(self.percent), INDEX)
 
     def _star_pairs(self) -> DataFrame:
-        """Every member of a shingle's list with the pivot of the list, if they share much of their prefixes."""
-        place = F.struct(F.xxhash64("node").alias("draw"), F.col("node").alias("pivot"), F.col("n").alias("pivot_n"))
-        pivots = self.index.groupBy("token").agg(F.min(place).alias("p"))
+        """Every member of a shingle's list with the pivot of the list, if they share most of their stored prefixes.
+
+        The pivot is the member whose own shingles stand in the longest lists: among copies that were each edited
+        a little, the one they were made from, which is closer to all of them than they are to each other.
+        """
+        place = F.struct("central", F.xxhash64("node").alias("draw"), F.col("node").alias("pivot"), F.col("n").alias("pivot_n"))
+        pivots = self.index.groupBy("token").agg(F.max(place).alias("p"))
         met = self.index.join(pivots, "token").where("node <> p.pivot")
         met = met.where(self._similar_size("n", "p.pivot_n"))
-        shared = met.groupBy("node", F.col("p.pivot").alias("pivot"), "n").agg(F.count("*").alias("shared"))
-        enough = 4 * F.col("shared") >= F.col("n") * (100 - self.percent) / 100
-        return shared.where(enough).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-
-    def _short_pairs(self, labelled: DataFrame) -> DataFrame:
-        """Pairs across components that share as many shingles that are not costly as one of them asks for."""
-        short = labelled.where(~F.col("costly")).select("token", "node", "n", "ask", "label")
-        mixed = short.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        short = short.join(mixed.select("token"), "token")
-        a = short.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "ask", "label")])
-        b = short.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "ask", "label")])
-        met = a.join(b, "token").where("node_a < node_b AND label_a <> label_b").where(self._similar_size("n_a", "n_b"))
-        shared = met.groupBy("node_a", "node_b", "ask_a", "ask_b").agg(F.count("*").alias("shared"))
-        return shared.where(F.col("shared") >= F.least("ask_a", "ask_b")).select(
-            F.col("node_a").alias("a"), F.col("node_b").alias("b")
+        shared = met.groupBy("node", F.col("p.pivot").alias("pivot"), "n", "stored").agg(F.count("*").alias("shared"))
+        most = shared.where(5 * F.col("shared") >= 3 * F.col("stored"))
+        return most.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+    def _cluster_links(self, clusters: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Verified links within clusters, between components: chunks with a document outside its cluster's largest
+        component, against all chunks of the cluster."""
+        members = clusters.select("node", F.col("label").alias("cluster")).join(labels, "node", "left")
+        members = members.withColumn("label", F.coalesce("label", "node"))
+        sizes = members.groupBy("cluster", "label").agg(F.count("*").alias("size"))
+        largest = sizes.groupBy("cluster").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("labels"))
+        mixed = largest.where("labels > 1").select("cluster", F.col("top.label").alias("top"))
+        members = members.join(mixed, "cluster").withColumn("inside", (F.col("label") == F.col("top")).cast("int"))
+        # Members of the largest component are numbered after the others, in chunks of their own.
+        parts = members.groupBy("cluster", "inside").agg(F.count("*").alias("rows"))
+        chunks = F.greatest(F.lit(1), F.ceil(F.col("rows") / CHUNK)).cast("long")
+        counts = parts.groupBy("cluster").agg(
+            F.coalesce(F.max(F.when(F.col("inside") == 0, chunks)), F.lit(0)).alias("outside_chunks"),
+            F.coalesce(F.max(F.when(F.col("inside") == 1, chunks)), F.lit(0)).alias("inside_chunks"),
         )
-
-    def _costly_pairs(self, labelled: DataFrame) -> DataFrame:
-        """Pairs across components of an exhausted document with any that has a costly shingle of its in the shortest prefix."""
-        costly = labelled.where(F.col("costly") & F.col("base"))
-        out = costly.where("exhausted").select("token", F.col("node").alias("node_a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-        all_ = costly.select("token", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-        groups_a, groups_b = out.select("token", "label_a").distinct(), all_.select("token", "label_b").distinct()
-        across = groups_a.join(groups_b, "token").where("label_a <> label_b")
-        met = out.join(across, ["token", "label_a"]).join(all_, ["token", "label_b"]).where(self._similar_size("n_a", "n_b"))
-        return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
-
-    def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs whose whole texts are similar."""
-        pairs = self.store.keep(pairs, f"{name}-pairs")
-        nodes = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-        wanted = self.sketch.select("row", "doc_id", "text_key").join(nodes, "row")
+        draw = F.xxhash64("node", F.lit(7))
+        placed = members.join(counts, "cluster").withColumn(
+            "chunk",
+            F.when(F.col("inside") == 0, F.pmod(draw, F.col("outside_chunks"))).otherwise(
+                F.col("outside_chunks") + F.pmod(draw, F.col("inside_chunks"))
+            ),
+        )
+        # An outside chunk meets itself, the outside chunks after it and all inside chunks.
+        own = F.col("chunk") < F.col("outside_chunks")
+        last = F.col("outside_chunks") + F.col("inside_chunks") - 1
+        as_left = F.when(own, F.transform(F.sequence(F.col("chunk"), last), lambda r: F.struct(F.col("chunk").alias("left"), r.alias("right"))))
+        earlier = F.least(F.col("chunk"), F.col("outside_chunks")) - 1
+        as_right = F.when(
+            earlier >= 0, F.transform(F.sequence(F.lit(0).cast("long"), earlier), lambda x: F.struct(x.alias("left"), F.col("chunk").alias("right")))
+        )
+        none = F.array().cast("array<struct<left:bigint,right:bigint>>")
+        meets = F.concat(F.coalesce(as_left, none), F.coalesce(as_right, none))
+        rows = placed.select("cluster", "node", "label", "chunk", F.explode(meets).alias("m")).select(
+            "cluster", "node", "label", "chunk", "m.left", "m.right"
+        )
+        grouped = rows.join(sets, "node").groupBy("cluster", "left", "right")
+        return self.store.keep(grouped.applyInArrow(_chunk_verifier(self.percent), "a long, b long").distinct(), "cluster-links")
+
+    def _pairs_across(self, clusters: DataFrame) -> DataFrame:
+        """Pairs of different clusters that share as many looked-up shingles as the one that looks them up asks for."""
+        index = self.index.join(clusters, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        index = self.store.keep(index.select("node", "n", self._band("n").alias("band"), "label", "token", "place"), "labelled")
+        lists = index.groupBy("token", "label").agg(F.count("*").alias("own"))
+        mixed = lists.groupBy("token").agg(F.count("*").alias("labels")).where("labels > 1").select("token")
+        index = self.store.keep(index.join(mixed, "token"), "mixed")
+        # What a document would find in a list is what other clusters have there, in its own band of sizes and the next.
+        bands = index.groupBy("token", "band").agg(F.count("*").alias("rows"))
+        near = bands.select("token", F.explode(self._near("band")).alias("band"), "rows")
+        near = near.groupBy("token", "band").agg(F.sum("rows").alias("near"))
+        length = (F.greatest(F.lit(0), F.col("near") - F.col("own")) + 1).cast("long").alias("length")
+        hits = index.join(near, ["token", "band"]).join(lists, ["token", "label"])
+        hits = hits.select("node", "n", "label", "place", length, "token").groupBy("node", "n", "label")
+        hits = hits.agg(F.collect_list(F.struct("place", "length", "token")).alias("hits"))
+        probes = self.store.keep(hits.mapInArrow(_adapter(self.percent), PROBES), "probes")
+        names = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label")]
+        probes = probes.select("token", "ask", *names("a"), F.explode(self._near(self._band("n"))).alias("band"))
+        listed = index.select("token", "band", *names("b"))
+        labels = [df.select("token", "band", c).distinct() for df, c in ((probes, "label_a"), (listed, "label_b"))]
+        across = labels[0].join(labels[1], ["token", "band"]).where("label_a <> label_b")
+        met = probes.join(across, ["token", "band", "label_a"]).join(listed, ["token", "band", "label_b"])
+        met = met.where(self._similar_size("n_a", "n_b"))
+        shared = met.groupBy("node_a", "node_b", "ask").agg(F.count("*").alias("shared")).where("shared >= ask")
+        return shared.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+    def _band(self, n: str) -> Column:
+        """Sizes of similar documents lie in one band or in two that touch."""
+        width = 1.001 * max(math.log(100 / self.percent), 1e-6)
+        return F.floor(F.log(F.col(n).cast("double")) / F.lit(width)).cast("long")
+
+    @staticmethod
+    def _near(band: str | Column) -> Column:
+        band = F.col(band) if isinstance(band, str) else band
+        return F.array(band - 1, band, band + 1)
+
+    def _sets(self, rows: DataFrame, name: str, size_known: bool) -> DataFrame:
+        """``node, shingles`` of the representatives in ``rows`` (``row``), from their texts.
+
+        Rows whose number follows the corpus are joined by a shuffle at every size. Few rows are written first
+        (``size_known``), so that the planner may send them to the texts instead.
+        """
+        wanted = self.sketch.select("row", "doc_id", "text_key").join(rows.distinct(), "row")
         wanted = wanted.select(F.col("row").alias("node"), F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+        wanted = self.store.keep(wanted, f"{name}-wanted") if size_known else wanted.hint("merge")
         same = self.docs["doc_id"].eqNullSafe(wanted["_id"]) & (self.docs["text_key"] == wanted["_key"])
-        texts = self.docs.join(wanted, same).select("node", "text")
-        texts = self.store.keep(texts.dropDuplicates(["node"]), f"{name}-texts")
-        met = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        met = met.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-        links = met.select("a", "b", "text_a", "text_b").mapInArrow(_verifier(self.words, self.percent), "a long, b long")
-        links = self.store.keep(links, f"{name}-links")
-        self.store.drop(f"{name}-texts")
-        return links
+        texts = self.docs.join(wanted, same).select("node", "text").mapInArrow(_set_packer(self.words), "node long, shingles binary")
+        return self.store.keep(texts.dropDuplicates(["node"]), f"{name}-sets")
+
+    def _verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
+        """The pairs whose whole sets are similar."""
+        met = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a")), "a")
+        met = met.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b")), "b")
+        links = met.select("a", "b", "set_a", "set_b").mapInArrow(_verifier(self.percent), "a long, b long")
+        return self.store.keep(links, f"{name}-links")
 
     def links(self) -> DataFrame:
         """Verified links ``a, b`` between representatives; they connect all that similar pairs connect."""
-        stars = self._verified(self._star_pairs(), "stars")
-        labels = components(stars, self.store, "star-components")
-        labelled = self.index.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        rest = self._short_pairs(labelled).unionByName(self._costly_pairs(labelled)).distinct()
-        return stars.unionByName(self._verified(rest, "rest"))
+        pairs = self.store.keep(self._star_pairs(), "star-pairs")
+        clusters = self.store.keep(components(pairs, self.store, "star-clusters"), "clusters")
+        sets = self._sets(clusters.select(F.col("node").alias("row")), "clusters", size_known=False)
+        stars = self._verified(pairs, sets, "stars")
+        inner = self._cluster_links(clusters, components(stars, self.store, "star-components"), sets)
+        self.store.drop("clusters-sets")
+        far = self.store.keep(self._pairs_across(clusters), "far-pairs")
+        nodes = far.select(F.col("a").alias("row")).union(far.select(F.col("b").alias("row")))
+        across = self._verified(far, self._sets(nodes, "far", size_known=True), "far")
+        return stars.unionByName(inner).unionByName(across)
 
     def members(self) -> DataFrame:
         """``row, doc_id, text_key, n, node, label`` for every row; node and label are null where there are no shingles."""
@@ -264,17 +403,17 @@ class Join:
         return known.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
 
 
-def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST) -> DataFrame:
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``. Runs jobs when it is called."""
-    return Join(docs, words, percent, long_list).groups()
+    return Join(docs, words, percent).groups()
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, long_list: int = LONG_LIST) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without those that a component holds besides its first one, by ``doc_id``.
 
     Rows without shingles stay. Of rows that repeat the first one's id and text, one stays.
     """
-    join = Join(docs, words, percent, long_list)
+    join = Join(docs, words, percent)
     members = join.members()
     first = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id"), F.col("text_key"))
     heads = members.where("label IS NOT NULL").groupBy("label").agg(F.min(first).alias("head"))
