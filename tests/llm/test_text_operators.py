@@ -96,8 +96,10 @@ def test_jaccard_join_on_odd_documents(odd, nothing, documents):
     assert jaccard_join.groups(nothing).count() == 0
 
 
-def test_jaccard_join_of_a_large_group_of_near_copies(spark):
-    """Chains of edits: each text is linked with its neighbours only,."""
+@pytest.mark.parametrize("chunk", [256, 4])
+def test_jaccard_join_of_a_large_group_of_near_copies(spark, monkeypatch, chunk):
+    """Chains of edits: each text is linked with its neighbours only."""
+    monkeypatch.setattr(jaccard_join, "CHUNK", chunk)
     base = [f"t{k}" for k in range(200)]
     rows = []
     for k in range(60):
