@@ -56,49 +56,50 @@ _FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef)
 _IMPORTS = (ast.Import, ast.ImportFrom)
 
 
+#: Nodes at which control can go one way more, and the lists whose every entry is a way of its own.
+ONE_WAY_MORE = (ast.If, ast.IfExp, ast.Assert, ast.For, ast.AsyncFor, ast.While, ast.comprehension)
+WAYS_LISTED = {"handlers": (ast.Try, ast.TryStar), "ifs": (ast.comprehension,)}
+#: Nodes whose ``else`` is a way of its own: it is taken when they were not left early.
+ELSE_COUNTS = (ast.For, ast.AsyncFor, ast.While, ast.Try, ast.TryStar)
+
+#: Nodes that are operators by Halstead's count.
+SIGNS = (ast.operator, ast.unaryop, ast.boolop, ast.cmpop)
+#: Where an operand that can occur again is spelled.
+SPELLING = {ast.Name: "id", ast.Attribute: "attr", ast.Constant: "value"}
+
+
 def _decisions(node: ast.AST) -> int:
-    """Branches that a node adds to the complexity of its block."""
-    match node:
-        case ast.If() | ast.IfExp() | ast.Assert():
-            return 1
-        case ast.For() | ast.AsyncFor() | ast.While():
-            return 1 + bool(node.orelse)
-        case ast.Try() | ast.TryStar():
-            return len(node.handlers) + bool(node.orelse)
-        case ast.BoolOp():
-            return len(node.values) - 1
-        case ast.comprehension():
-            return 1 + len(node.ifs)
-        case ast.Match():
-            catch_all = any(getattr(case.pattern, "pattern", False) is None for case in node.cases)
-            return max(0, len(node.cases) - catch_all)
-    return 0
+    """Ways through a node beyond the first (McCabe)."""
+    ways = int(isinstance(node, ONE_WAY_MORE))
+    ways += sum(len(getattr(node, field)) for field, kinds in WAYS_LISTED.items() if isinstance(node, kinds))
+    if isinstance(node, ELSE_COUNTS) and node.orelse:
+        ways += 1
+    if isinstance(node, ast.BoolOp):
+        ways += len(node.values) - 1
+    if isinstance(node, ast.Match):
+        ways += sum(not _takes_all(case) for case in node.cases)
+    return ways
+
+
+def _takes_all(case: ast.match_case) -> bool:
+    """Is it a bare name or ``_`` without a condition?"""
+    return isinstance(case.pattern, ast.MatchAs) and case.pattern.pattern is None and case.guard is None
 
 
 def _operation(node: ast.AST) -> tuple[list[ast.AST], list[ast.AST]] | None:
-    """Operators and operands of an expression that has any."""
-    match node:
-        case ast.BinOp():
-            return [node.op], [node.left, node.right]
-        case ast.UnaryOp():
-            return [node.op], [node.operand]
-        case ast.BoolOp():
-            return [node.op], node.values
-        case ast.AugAssign():
-            return [node.op], [node.target, node.value]
-        case ast.Compare():
-            return node.ops, [node.left, *node.comparators]
-    return None
+    """The operators that stand in an expression or statement itself, and what they are applied to."""
+    parts = list(ast.iter_child_nodes(node))
+    signs = [part for part in parts if isinstance(part, SIGNS)]
+    return (signs, [part for part in parts if isinstance(part, ast.expr)]) if signs else None
 
 
 def _operand(node: ast.AST) -> str:
-    """A key by which equal operands are counted once; compound ones are all different."""
-    match node:
-        case ast.Name(id=text) | ast.Attribute(attr=text) | ast.Constant(value=str(text)):
-            return "t:" + text
-        case ast.Constant():
-            return f"c:{node.value!r}"
-    return f"n:{id(node)}"
+    """Names, attributes and literals count once by their spelling; anything compound is an operand of its own."""
+    field = SPELLING.get(type(node))
+    if field is None:
+        return f"place:{id(node)}"
+    spelled = getattr(node, field)
+    return f"{type(spelled).__name__}:{spelled!r}"
 
 
 def _names(node: ast.AST) -> list[str]:

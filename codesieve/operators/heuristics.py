@@ -18,6 +18,14 @@ OS_CALLS_ESCAPED = (r"os\.system", r"os\.popen", r"subprocess\.Popen", r"subproc
 OS_CALLS_PLAIN = ("os.system", "os.popen", "subprocess.Popen", "subprocess.call", "subprocess.run")
 PATH_SINKS = ("open", "os.remove", "os.rmdir", "os.unlink")
 
+# What findings say; pairs stand before and behind a name.
+SQL_NAME = ("Variable '", "' controlada por usuario usada en SQL execution.")
+SQL_JOINED = "Concatenación peligrosa detectada dentro de execute()"
+SQL_FORMATTED = "F-string peligrosa en ejecución SQL"
+OS_CALL = ("Llamada peligrosa: ", " recibe datos del usuario")
+PATH_CALL = ("Llamada a ", " con path controlado por usuario")
+UNPARSABLE = "No se pudo analizar el AST"
+
 HIT = "array<struct<name:string,severity:string,detail:string>>"
 
 
@@ -25,6 +33,10 @@ def _hit(name: str, severity: str, detail: Column) -> Column:
     return F.struct(F.lit(name).alias("name"), F.lit(severity).alias("severity"), detail.alias("detail"))
 
 
+def _said(around: tuple[str, str], name: Column) -> Column:
+    return F.concat(F.lit(around[0]), name, F.lit(around[1]))
+
+
 def _holds(text: Column, parts: tuple[str, ...]) -> Column:
     return reduce(Column.__or__, [F.contains(text, F.lit(part)) for part in parts])
 
@@ -43,17 +55,17 @@ def sql_injection() -> Column:
 
     def judge(call: Column) -> Column:
         first = F.get(call["args"], F.lit(0))
-        named = F.concat(F.lit("Variable '"), first["name"], F.lit("' controlada por usuario usada en SQL execution."))
+        named = _said(SQL_NAME, first["name"])
         return (
             F.when(~F.coalesce(call["attr"].isin(*SQL_SINKS) & _reached(first), F.lit(False)), None)
             .when(first["kind"] == "Name", _hit("sql_injection", "CRITICAL", named))
             .when(
                 first["kind"] == "BinOp",
-                _hit("sql_injection", "CRITICAL", F.lit("Concatenación peligrosa detectada dentro de execute()")),
+                _hit("sql_injection", "CRITICAL", F.lit(SQL_JOINED)),
             )
             .when(
                 first["kind"] == "JoinedStr",
-                _hit("sql_injection", "CRITICAL", F.lit("F-string peligrosa en ejecución SQL")),
+                _hit("sql_injection", "CRITICAL", F.lit(SQL_FORMATTED)),
             )
         )
 
@@ -69,7 +81,7 @@ def command_injection(match: str = "literal") -> Column:
     sinks = {"literal": OS_CALLS_ESCAPED, "intended": OS_CALLS_PLAIN}[match]
 
     def judge(call: Column) -> Column:
-        detail = F.concat(F.lit("Llamada peligrosa: "), call["func"], F.lit(" recibe datos del usuario"))
+        detail = _said(OS_CALL, call["func"])
         reached = F.filter(call["args"], _reached)
         found = F.transform(reached, lambda _: _hit("command_injection", "CRITICAL", detail))
         return F.when(_holds(call["func"], sinks), found).otherwise(F.array().cast(HIT))
@@ -81,7 +93,7 @@ def path_traversal() -> Column:
     """A call whose text holds a file function and whose first argument is tainted."""
 
     def judge(call: Column) -> Column:
-        detail = F.concat(F.lit("Llamada a "), call["func"], F.lit(" con path controlado por usuario"))
+        detail = _said(PATH_CALL, call["func"])
         first = F.get(call["args"], F.lit(0))
         hit = _holds(call["func"], PATH_SINKS) & F.coalesce(_reached(first), F.lit(False))
         return F.when(hit, _hit("path_traversal", "HIGH", detail))
@@ -96,7 +108,7 @@ def with_taint(files: DataFrame) -> DataFrame:
 def with_heuristics(files: DataFrame, match: str = "literal") -> DataFrame:
     """Add ``heuristics``: all findings in their fixed order; an unparsable text has one of its own."""
     text = text_findings(F.col("code"), F.col("_lowered"))
-    broken = F.array(_hit("syntax_error", "LOW", F.lit("No se pudo analizar el AST")))
+    broken = F.array(_hit("syntax_error", "LOW", F.lit(UNPARSABLE)))
     found = F.concat(
         text["secrets"], text["debug"], text["xss"], sql_injection(), command_injection(match), path_traversal()
     )

@@ -130,3 +130,38 @@ def test_full_table_has_49_features(spark, small):
     assert len(table.columns) == 49 + 3
     assert len(features.FEATURES_49) == len(set(features.FEATURES_49)) == 49
     assert table.where("vuln_sql_injection = 1 AND vuln_path_traversal = 1 AND tainted_vars_count = 2").count() > 0
+
+
+@pytest.mark.parametrize(
+    "code, ways",
+    [
+        ("if a: pass", 1),
+        ("for a in b: pass\nelse: pass", 2),
+        ("while a and b or c: pass", 3),
+        ("try: pass\nexcept A: pass\nexcept B: pass\nelse: pass\nfinally: pass", 3),
+        ("x = [a for a in b if a if b]", 3),
+        ("match a:\n  case 1: pass\n  case x if x > 1: pass\n  case _: pass", 2),
+        ("match a:\n  case [1, x]: pass\n  case _ if a: pass", 2),
+        ("with a: pass", 0),
+    ],
+)
+def test_ways_through_nodes_by_hand(code, ways):
+    assert sum(facts._decisions(node) for node in facts.ast.walk(facts.ast.parse(code))) == ways
+
+
+@pytest.mark.parametrize(
+    "code, operators, operands",
+    [
+        ("a + b - a", ["Sub", "Add"], 3),
+        ("x += -1", ["Add", "USub"], 3),
+        ("a < b <= c", ["Lt", "LtE"], 3),
+        ("not (a and 'a')", ["Not", "And"], 2),
+        ("1 + 1.0 + True + a.b", ["Add", "Add", "Add"], 6),
+    ],
+)
+def test_operators_and_operands_by_hand(code, operators, operands):
+    """Distinct operands: equal spellings count once, compound ones each."""
+    found = [facts._operation(n) for n in facts.ast.walk(facts.ast.parse(code))]
+    found = [f for f in found if f]
+    assert sorted(type(o).__name__ for f in found for o in f[0]) == sorted(operators)
+    assert len({facts._operand(o) for f in found for o in f[1]}) == operands
