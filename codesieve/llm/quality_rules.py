@@ -133,8 +133,16 @@ def judge(
         base.select("row", "doc_id", "text_key", "host", *measures)
         .join(taken, "row", "left")
         .withColumn("n_line_words", F.coalesce("n_line_words", F.lit(0)).cast("long"))
-        .select("doc_id", "text_key", "host", *measures, failed.alias("base_failed"), "n_line_words", depleted.alias("depleted"))
-        .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
+        .select(
+            "doc_id",
+            *measures,
+            failed.alias("base_failed"),
+            (~failed & ~depleted).alias("kept"),
+            "n_line_words",
+            depleted.alias("depleted"),
+            "text_key",
+            "host",
+        )
     )
 
 
