@@ -322,6 +322,7 @@ class Join:
         """Pairs of different clusters that share as many looked-up shingles as the one that looks them up asks for."""
         index = self.index.join(clusters, "node", "left").withColumn("label", F.coalesce("label", "node"))
         index = self.store.keep(index.select("node", "n", self._band("n").alias("band"), "label", "token", "place"), "labelled")
+        self.store.drop("index")
         lists = index.groupBy("token", "label").agg(F.count("*").alias("own"))
         mixed = lists.groupBy("token").agg(F.count("*").alias("labels")).where("labels > 1").select("token")
         index = self.store.keep(index.join(mixed, "token"), "mixed")
@@ -334,6 +335,7 @@ class Join:
         hits = hits.select("node", "n", "label", "place", length, "token").groupBy("node", "n", "label")
         hits = hits.agg(F.collect_list(F.struct("place", "length", "token")).alias("hits"))
         probes = self.store.keep(hits.mapInArrow(_adapter(self.percent), PROBES), "probes")
+        self.store.drop("labelled")
         names = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label")]
         probes = probes.select("token", "ask", *names("a"), F.explode(self._near(self._band("n"))).alias("band"))
         listed = index.select("token", "band", *names("b"))
@@ -383,6 +385,8 @@ class Join:
         inner = self._cluster_links(clusters, components(stars, self.store, "star-components"), sets)
         self.store.drop("clusters-sets")
         far = self.store.keep(self._pairs_across(clusters), "far-pairs")
+        for table in ("mixed", "probes"):
+            self.store.drop(table)
         nodes = far.select(F.col("a").alias("row")).union(far.select(F.col("b").alias("row")))
         across = self._verified(far, self._sets(nodes, "far", size_known=True), "far")
         return stars.unionByName(inner).unionByName(across)
