@@ -3,7 +3,8 @@
 A document fails the base rules when it has too few words or repeats itself. Beyond them, its lines are
 normalised and hashed; for each host the distinct documents per line are counted; a line that more than
 ``line_share`` of the host's documents hold, and at least ``line_docs`` of them, is taken out; a document
-left with less than ``left_share`` of its words is depleted and rejected.
+left with less than ``left_share`` of its words is depleted and rejected. ``judge`` gives the verdicts,
+``keep_good`` the kept rows as they are, ``keep_cleaned`` the kept rows without the lines above the limits.
 
 Exact copies count as one document for the frequency of a line: a text copied a thousand times would
 otherwise make all its own lines look like boilerplate.
@@ -67,11 +68,18 @@ def repeated_words(words: Column, span: int = 3) -> Column:
     return F.when(F.size(words) < span, 0).otherwise(several).cast("long")
 
 
+def has_word(line: Column) -> Column:
+    return line.rlike(WORD)
+
+
+def tidy(line: Column) -> Column:
+    """A line as it is counted: in lower case, its words with one space between."""
+    return F.lower(F.trim(F.regexp_replace(line, SPACE, " ")))
+
+
 def facts(docs: DataFrame) -> DataFrame:
     """What the rules need of each document, without its text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    has_word = lambda line: line.rlike(WORD)
-    tidy = lambda line: F.lower(F.trim(F.regexp_replace(line, SPACE, " ")))
     split = docs.select(
         "doc_id",
         F.coalesce("source", F.lit("")).alias("host"),
@@ -115,7 +123,8 @@ def judge(
 ) -> DataFrame:
     """One row per document of ``doc_id, text, source``: measures, ``base_failed``, ``n_line_words`` and ``kept``.
 
-    Writes the measures to the shared folder when it is called.
+    ``line_keys`` has the hashes of the document's lines above the limits, null if it holds none. Writes the measures to the
+    shared folder when it is called.
     """
     base = Store(docs.sparkSession, "quality").keep(facts(docs), "facts")
     lines = base.select("row", "host", "text_key", F.explode("lines").alias("l")).select(
@@ -124,7 +133,7 @@ def judge(
     taken = (
         lines.join(frequent_lines(lines, line_share, line_docs), ["host", "line"])
         .groupBy("row")
-        .agg(F.sum("n").alias("n_line_words"))
+        .agg(F.sum("n").alias("n_line_words"), F.collect_set("line").alias("line_keys"))
     )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeated_percent * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_line_words") < left_share * F.col("n_words")
@@ -142,18 +151,49 @@ def judge(
             depleted.alias("depleted"),
             "text_key",
             "host",
+            "line_keys",
         )
     )
 
 
+def _same_document(docs: DataFrame, good: DataFrame) -> Column:
+    return (
+        docs["doc_id"].eqNullSafe(good["_id"])
+        & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == good["_text"])
+        & (F.coalesce(docs["source"], F.lit("")) == good["_host"])
+    )
+
+
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns."""
     good = judge(docs, **limits).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("host").alias("_host")
     )
-    same = (
-        docs["doc_id"].eqNullSafe(good["_id"])
-        & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == good["_text"])
-        & (F.coalesce(docs["source"], F.lit("")) == good["_host"])
+    return docs.join(good, _same_document(docs, good), "left_semi")
+
+
+def without_lines(text: Column, keys: Column) -> Column:
+    """``text`` without the lines whose hashes are in ``keys``; the other lines stay as they are."""
+    gone = lambda line: F.array_contains(keys, F.xxhash64(tidy(line)))
+    left = F.filter(F.split(text, "\n"), lambda line: ~(has_word(line) & gone(line)))
+    return F.when(keys.isNull(), text).otherwise(F.array_join(left, "\n"))
+
+
+def keep_cleaned(docs: DataFrame, **limits) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, their ``text`` without the lines above the limits.
+
+    ``n_chars``, if there is one, becomes the length of what is left; other columns stay as they are.
+    """
+    # Rows with the same id, text and host have the same verdict and lines.
+    good = (
+        judge(docs, **limits)
+        .where("kept")
+        .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("host").alias("_host"))
+        .agg(F.flatten(F.collect_set(F.coalesce("line_keys", F.array().cast("array<long>")))).alias("_keys"))
     )
-    return docs.join(good, same, "left_semi")
+    keys = F.when(F.size("_keys") > 0, F.col("_keys"))
+    new = {"text": without_lines(docs["text"], keys)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(keys.isNull(), docs["n_chars"]).otherwise(F.length(new["text"]).cast(docs.schema["n_chars"].dataType))
+    met = docs.join(good, _same_document(docs, good))
+    return met.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])

@@ -80,7 +80,7 @@ SELECT *, NOT base_failed AND NOT depleted AS kept FROM judged
 @query("op1_quality_rules", QUALITY_SQL)
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
-    return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("text_key", "host")
+    return quality_rules.judge(table(spark, sf_dir, "documents", "doc_id", "text", "source")).drop("text_key", "host", "line_keys")
 
 
 URL_RULES = (

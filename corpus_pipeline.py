@@ -1,6 +1,6 @@
 """A training corpus from raw documents: each stage works on the written result of the one before.
 
-Quality rules reject documents; of each group of near duplicates one stays; documents that hold benchmark items go; the
+Quality rules reject documents and take the lines above the limits out of the others; of each group of near duplicates one stays; documents that hold benchmark items go; the
 sources are mixed to flatter shares, so that a document of a small source may come twice; the mixture is shuffled into
 shards. All stages but the last return the columns of ``documents``.
 """
@@ -14,8 +14,8 @@ from codesieve.llm.store import Store
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality_rules.keep_good(docs)
+    """Documents that the quality rules keep, without the lines above the limits."""
+    return quality_rules.keep_cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

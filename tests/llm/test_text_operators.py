@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from codesieve.llm import bytetext, decontaminate, jaccard_join, quality_rules, suffix_dedup
 from tests.llm import brute
 
@@ -33,6 +34,31 @@ def test_quality_rules_keep_rows_and_columns(odd, nothing, documents):
     assert quality_rules.keep_good(nothing).count() == 0
 
 
+def test_quality_rules_take_lines_out(spark, odd, nothing):
+    line = "Stands  in\tmany documents "
+    own = lambda k: " ".join(f"own{k}x{j}" for j in range(80))
+    rows = [(k, f"{line}\n{own(k)}\n{line.upper()}\nonly in {k}\n\n \t", "h", 5) for k in range(30)]
+    rows += [rows[3], (None, rows[4][1], "h", 5), (77, rows[5][1], "elsewhere", 5), (78, own(78), "h", 5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    got = quality_rules.keep_cleaned(table)
+    clean = lambda k: f"{own(k)}\nonly in {k}\n\n \t"
+    want = [(k, clean(k), "h", len(clean(k))) for k in [*range(30), 3]]
+    want += [(None, clean(4), "h", len(clean(4))), rows[-2], rows[-1]]
+    assert got.schema == table.schema and ordered(map(tuple, got.collect())) == ordered(want)
+    whole = quality_rules.keep_cleaned(table, line_docs=99)
+    assert ordered(whole.collect()) == ordered(table.collect())
+    kept = quality_rules.keep_good(odd)
+    assert quality_rules.keep_cleaned(odd).columns == odd.columns and quality_rules.keep_cleaned(odd).count() == kept.count()
+    assert quality_rules.keep_cleaned(nothing).count() == 0
+
+
+def test_the_pipeline_takes_lines_out(spark):
+    footer = "a line at the foot of every page"
+    rows = [(k, f"{' '.join(f'own{k}x{j}' for j in range(80))}\n{footer}", "h") for k in range(30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert not any(footer in r.text for r in corpus_pipeline.quality(spark, table, "").collect())
+
+
 @pytest.mark.parametrize("letters", [1, 2, 3, 26])
 def test_suffixes_are_sorted(letters):
     random = np.random.default_rng(letters)
