@@ -3,9 +3,10 @@
 Texts are cut into words; numbers, names (capitalised within a sentence) and units (after a number) become typed
 placeholders, all else a lower-case literal. Windows of ``span`` such tokens are hashed and joined with those of the
 benchmark, and equal templates are confirmed. Matches on one diagonal (same distance between the places in document and
-item) are one alignment; it counts if its slots are consistent: a value of the item always stands for the same value of
-the document, and two names are not given the same one. A document is contaminated by an item when consistent
-alignments cover at least ``coverage`` of the item's windows.
+item) are one alignment. Its most frequent mapping gives each value of the item the value of the document that stands for
+it in most slots, and each name of the document to one name of the item only. A window counts if its slots agree with that
+mapping or hold the item's own value; windows that do not are dropped by themselves. A document is contaminated by an item
+when the windows that count cover at least ``coverage`` of the item's windows.
 
 Windows with fewer than ``literals`` literals are no evidence and left out of both sides. An item shorter than a window
 is one window of its own length, if it has that many literals; otherwise it cannot be searched for.
@@ -23,11 +24,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.llm import bytetext
-from codesieve.llm.store import Store
+from codesieve.llm.store import Store, let
 
 SPAN = 10
 LITERALS = 5
@@ -56,10 +57,11 @@ _UNIT_HASHES = np.sort(
 )
 _MARK_HASHES = bytetext.mix(np.arange(1, 5, dtype=np.uint64))
 
-WINDOWS = "id long, text_key long, place int, span int, hash long, template string, slots array<string>, kinds array<int>"
-WINDOW_NAMES = ["id", "text_key", "place", "span", "hash", "template", "slots", "kinds"]
+WINDOWS = "id long, text_key long, place int, span int, hash long, template string, slots array<string>, kinds array<int>, offsets array<int>"
+WINDOW_NAMES = ["id", "text_key", "place", "span", "hash", "template", "slots", "kinds", "offsets"]
 WINDOW_KINDS = [
     pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()),
+    pa.list_(pa.int32()),
 ]
 
 
@@ -108,13 +110,13 @@ class Tokens:
     def word(self, k: int) -> str:
         return self.data[self.begin[k] : self.stop[k]].tobytes().decode("utf-8", "replace")
 
-    def window(self, k: int, span: int) -> tuple[str, list[str], list[int]]:
-        """Template, slot values and their kinds of the window at token ``k``."""
+    def window(self, k: int, span: int) -> tuple[str, list[str], list[int], list[int]]:
+        """Template, slot values, their kinds and their places in the window at token ``k``."""
         kinds = self.kind[k : k + span].tolist()
         words = [self.word(j) for j in range(k, k + span)]
         template = " ".join(w if kind == LITERAL else MARKS[kind] for w, kind in zip(words, kinds))
-        filled = [(w, kind) for w, kind in zip(words, kinds) if kind != LITERAL]
-        return template, [w for w, _ in filled], [kind for _, kind in filled]
+        filled = [j for j, kind in enumerate(kinds) if kind != LITERAL]
+        return template, [words[j] for j in filled], [kinds[j] for j in filled], filled
 
 
 def _window_rows(spans, literals: int, bits: np.ndarray | None) -> Callable:
@@ -138,9 +140,9 @@ def _window_rows(spans, literals: int, bits: np.ndarray | None) -> Callable:
                         if k + span > tokens.high[doc] or (bits is None and span != min(max(spans), length)):
                             continue
                         row = part.first + doc
-                        template, slots, kinds = tokens.window(k, span)
+                        window = tokens.window(k, span)
                         signed = int(hashes[k : k + 1].view(np.int64)[0])
-                        rows.append((ids[row], keys[row], k - int(tokens.low[doc]), span, signed, template, slots, kinds))
+                        rows.append((ids[row], keys[row], k - int(tokens.low[doc]), span, signed, *window))
                 if rows:
                     columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), WINDOW_KINDS)]
                     yield pa.RecordBatch.from_arrays(columns, WINDOW_NAMES)
@@ -168,6 +170,45 @@ def _bit_map(windows: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
+def _counting(windows: Column) -> Column:
+    """Those windows of an alignment whose slots agree with its mapping; all of them if nothing is contradicted."""
+    same = lambda p: p["theirs"] == p["ours"]
+
+    def contradict(p: Column, q: Column) -> Column:
+        other = (p["theirs"] == q["theirs"]) & (p["ours"] != q["ours"])
+        merged = (p["kinds"] == NAME) & (p["ours"] == q["ours"]) & (p["theirs"] != q["theirs"])
+        return (p["kinds"] == q["kinds"]) & (other | merged)
+
+    def agreeing(ranked: Column) -> Column:
+        """``ranked`` has every pair with the number of its slots, doubled, and one more if its value is unchanged."""
+        beaten = lambda a: F.exists(ranked, lambda b: contradict(a["pair"], b["pair"]) & (b["n"] > a["n"]))
+        pairs_of = lambda found: F.transform(found, lambda a: a["pair"])
+        bad, top = pairs_of(F.filter(ranked, beaten)), pairs_of(F.filter(ranked, lambda a: ~beaten(a)))
+        level = let(top, lambda t: F.exists(t, lambda p: F.exists(t, lambda q: contradict(p, q))))
+        changed = F.filter(pairs_of(ranked), lambda p: ~same(p))
+        return let(
+            F.when(level, changed).otherwise(F.filter(bad, lambda p: ~same(p))),
+            lambda out: F.filter(windows, lambda w: ~F.arrays_overlap(w["slots"]["pair"], out)),
+        )
+
+    def ranks(slots: Column) -> Column:
+        slot_pairs = F.transform(slots, lambda s: s["pair"])
+        held = lambda p: F.size(F.filter(slot_pairs, lambda q: q == p))
+        return F.transform(
+            F.array_distinct(slot_pairs), lambda p: F.struct(p.alias("pair"), (2 * held(p) + same(p).cast("int")).alias("n"))
+        )
+
+    def checked(slots: Column) -> Column:
+        pairs = F.array_distinct(F.transform(slots, lambda s: s["pair"]))
+        names = F.filter(pairs, lambda p: p["kinds"] == NAME)
+        given = F.transform(pairs, lambda p: F.struct(p["kinds"], p["theirs"]))
+        one_each = F.size(F.array_distinct(given)) == F.size(pairs)
+        no_merged = F.size(F.array_distinct(F.transform(names, lambda p: p["ours"]))) == F.size(names)
+        return F.when(one_each & no_merged, windows).otherwise(let(ranks(slots), agreeing))
+
+    return let(F.array_distinct(F.flatten(F.transform(windows, lambda w: w["slots"]))), checked)
+
+
 def matches(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -195,19 +236,27 @@ def matches(
     found = _texts(docs, "doc_id").mapInArrow(windows, WINDOWS).distinct()
     right = [F.col(c).alias(f"item_{c}") for c in ("id", "text_key", "place", "slots")]
     met = found.join(items.select("hash", "span", "template", "n_windows", *right), ["hash", "span", "template"])
-    pairs = F.arrays_zip("kinds", F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"))
+    slots = F.arrays_zip("kinds", F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"), "offsets")
+    placed = F.transform(
+        slots,
+        lambda s: F.struct(
+            (F.col("item_place") + s["offsets"]).alias("at"),
+            F.struct(s["kinds"].alias("kinds"), s["theirs"].alias("theirs"), s["ours"].alias("ours")).alias("pair"),
+        ),
+    )
     aligned = (
         met.groupBy("id", "text_key", "item_id", "item_text_key", "n_windows", (F.col("place") - F.col("item_place")).alias("shift"))
-        .agg(F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_list(pairs))).alias("pairs"))
+        .agg(F.collect_list(F.struct("item_place", placed.alias("slots"))).alias("windows"))
     )
-    given = F.transform("pairs", lambda p: F.struct(p["kinds"], p["theirs"]))
-    names = F.filter("pairs", lambda p: p["kinds"] == NAME)
-    one_each = F.size(F.array_distinct(given)) == F.size("pairs")
-    no_merged = F.size(F.array_distinct(F.transform(names, lambda p: p["ours"]))) == F.size(names)
-    consistent = aligned.where(one_each & no_merged)
-    per_item = consistent.groupBy("id", "text_key", "item_id", "item_text_key", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"),
-        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
+    per_item = (
+        aligned.select("id", "text_key", "item_id", "item_text_key", "n_windows", _counting(F.col("windows")).alias("windows"))
+        .groupBy("id", "text_key", "item_id", "item_text_key", "n_windows")
+        .agg(F.flatten(F.collect_list("windows")).alias("windows"))
+        .select(
+            "*",
+            F.size(F.array_distinct("windows.item_place")).cast("long").alias("n_matched"),
+            F.array_distinct(F.flatten(F.transform("windows", lambda w: w["slots"]["pair"]))).alias("pairs"),
+        )
     )
     changed = F.size(F.filter("pairs", lambda p: p["theirs"] != p["ours"])).cast("long")
     return per_item.where(F.col("n_matched") >= coverage * F.col("n_windows")).select(

@@ -163,6 +163,28 @@ def test_decontamination_finds_changed_questions_with_consistent_slots(spark):
     assert (4, 7) not in got
 
 
+def test_decontamination_drops_conflicting_windows_only(spark):
+    """A name or number that contradicts the others costs the windows that hold it, not the whole passage."""
+    pears = "He packs 2 ripe apples and then walks home over the old stone bridge to the farm where she keeps 2 green pears."
+    thrice = "Then Peter went out and told the old man that Peter would soon be home again because Peter had lost his way there."
+    half = "Then Peter went out and told the old man that he would soon be home again because Peter had lost 8 keys over there."
+    often = "Then Peter and Peter saw that Peter had lost what Peter once gave to Peter on the old road to the town."
+    bodies = [
+        (7, ITEM, ITEM.replace("with Peter Long", "with Otto Braun"), 14, "copy"),
+        (7, ITEM, ITEM.replace("A farmer named Peter", "A farmer named Otto"), 13, "copy"),
+        (8, pears, pears.replace("2 green", "5 green"), 11, "copy"),
+        (9, thrice, thrice.replace("Peter", "Hans", 2).replace("because Peter", "because Otto"), 8, "reparameterised"),
+        (10, half, half.replace("Then Peter", "Then Otto").replace("8 keys", "9 keys"), 13, "reparameterised"),
+        (11, often, often.replace("Peter", "Otto", 1).replace("Peter", "Karl", 1).replace("Peter", "Hans"), 9, "reparameterised"),
+    ]
+    items = {i: text for i, text, *_ in bodies}
+    docs = [(k, f"Some lead. {body[2]} Some tail.") for k, body in enumerate(bodies)]
+    frames = [spark.createDataFrame(r, s) for r, s in ((docs, "doc_id long, text string"), (items.items(), "item_id long, text string"))]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(*frames, coverage=0.4).collect()}
+    assert {k: (r.n_matched, r.kind) for k, r in got.items()} == {(k, b[0]): b[3:] for k, b in enumerate(bodies)}
+    assert decontaminate.keep_clean(*frames, coverage=0.4).count() == 0
+
+
 def test_decontamination_on_documents(spark, small, odd, nothing):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{small}/benchmark.parquet")
