@@ -4,7 +4,8 @@ A document fails the base rules when it has too few words or repeats itself. Bey
 normalised and hashed; for each host the distinct documents per line are counted; a line that more than
 ``line_share`` of the host's documents hold, and at least ``line_docs`` of them, is taken out; a document
 left with less than ``left_share`` of its words is depleted and rejected. ``judge`` gives the verdicts,
-``keep_good`` the kept rows as they are, ``keep_cleaned`` the kept rows without the lines above the limits.
+``keep_good`` the kept rows as they are, ``keep_cleaned`` the kept rows without the lines above the limits and, of
+depleted documents, as many as it takes to hold each of those lines once.
 
 Exact copies count as one document for the frequency of a line: a text copied a thousand times would
 otherwise make all its own lines look like boilerplate.
@@ -113,20 +114,15 @@ def frequent_lines(lines: DataFrame, line_share: float = LINE_SHARE, line_docs:
     return often.where(F.col("n") > line_share * F.col("n_host")).select("host", "line")
 
 
-def judge(
-    docs: DataFrame,
+def _verdicts(
+    base: DataFrame,
     min_words: int = MIN_WORDS,
     repeated_percent: int = REPEATED_PERCENT,
     line_share: float = LINE_SHARE,
     line_docs: int = LINE_DOCS,
     left_share: float = LEFT_SHARE,
 ) -> DataFrame:
-    """One row per document of ``doc_id, text, source``: measures, ``base_failed``, ``n_line_words`` and ``kept``.
-
-    ``line_keys`` has the hashes of the document's lines above the limits, null if it holds none. Writes the measures to the
-    shared folder when it is called.
-    """
-    base = Store(docs.sparkSession, "quality").keep(facts(docs), "facts")
+    """The verdicts of ``judge`` from the written ``facts``."""
     lines = base.select("row", "host", "text_key", F.explode("lines").alias("l")).select(
         "row", "host", "text_key", "l.line", "l.n"
     )
@@ -156,6 +152,15 @@ def judge(
     )
 
 
+def judge(docs: DataFrame, **limits) -> DataFrame:
+    """One row per document of ``doc_id, text, source``: measures, ``base_failed``, ``n_line_words`` and ``kept``.
+
+    ``line_keys`` has the hashes of the document's lines above the limits, null if it holds none. Writes the measures to the
+    shared folder when it is called.
+    """
+    return _verdicts(Store(docs.sparkSession, "quality").keep(facts(docs), "facts"), **limits)
+
+
 def _same_document(docs: DataFrame, good: DataFrame) -> Column:
     return (
         docs["doc_id"].eqNullSafe(good["_id"])
@@ -179,18 +184,32 @@ def without_lines(text: Column, keys: Column) -> Column:
     return F.when(keys.isNull(), text).otherwise(F.array_join(left, "\n"))
 
 
+def _last_holders(depleted: DataFrame) -> DataFrame:
+    """Of the depleted documents, for each host and line above the limits those with the smallest text hash that hold it."""
+    held = depleted.select("host", "text_key", F.explode("line_keys").alias("line"))
+    first = held.groupBy("host", "line").agg(F.min("text_key").alias("text_key"))
+    return depleted.join(first.select("host", "text_key").distinct(), ["host", "text_key"], "left_semi")
+
+
 def keep_cleaned(docs: DataFrame, **limits) -> DataFrame:
     """The rows of ``docs`` that the rules keep, their ``text`` without the lines above the limits.
 
+    Near copies that fill more than the share of a host make all their lines frequent and each other depleted. So that their
+    content does not vanish, every line that depletion would take away stays in one text that passes the base rules; such
+    texts are returned whole. They are at most as many as the lines above the limits. Writes the verdicts to the shared folder.
+
     ``n_chars``, if there is one, becomes the length of what is left; other columns stay as they are.
     """
+    store = Store(docs.sparkSession, "quality")
+    columns = ["doc_id", "text_key", "host", "base_failed", "depleted", "kept", "line_keys"]
+    judged = store.keep(_verdicts(store.keep(facts(docs), "facts"), **limits).select(*columns), "judged")
+    store.drop("facts")
+    identity = [F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("host").alias("_host")]
+    none = F.array().cast("array<long>")
+    stays = judged.where("kept").select(*identity, F.coalesce("line_keys", none).alias("keys"))
+    whole = _last_holders(judged.where("depleted and not base_failed")).select(*identity, none.alias("keys"))
     # Rows with the same id, text and host have the same verdict and lines.
-    good = (
-        judge(docs, **limits)
-        .where("kept")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("host").alias("_host"))
-        .agg(F.flatten(F.collect_set(F.coalesce("line_keys", F.array().cast("array<long>")))).alias("_keys"))
-    )
+    good = stays.union(whole).groupBy("_id", "_text", "_host").agg(F.flatten(F.collect_set("keys")).alias("_keys"))
     keys = F.when(F.size("_keys") > 0, F.col("_keys"))
     new = {"text": without_lines(docs["text"], keys)}
     if "n_chars" in docs.columns:

@@ -52,6 +52,26 @@ def test_quality_rules_take_lines_out(spark, odd, nothing):
     assert quality_rules.keep_cleaned(nothing).count() == 0
 
 
+def test_one_of_a_large_group_of_near_copies_comes_through(spark):
+    """Unedited lines of near copies are above the limits, so that all of them are depleted."""
+    lines = [[f"g{g}l{j} " + " ".join(f"w{g}x{j}x{i}" for i in range(11)) for j in range(20)] for g in range(2)]
+    rows = []
+    for k in range(60):
+        copy = lines[k % 2][:]
+        copy[k // 2 % 20] += f" edit{k}"
+        rows.append((k, "\n".join(copy), "h"))
+    rows += [(100 + k, " ".join(f"own{k}x{j}" for j in range(80)), "h") for k in range(100)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert {r.doc_id for r in quality_rules.judge(table).where("depleted").collect()} == set(range(60))
+    got = corpus_pipeline.quality(spark, table, "").collect()
+    texts = {r[0]: r[1] for r in rows}
+    assert all(r.text == texts[r.doc_id] for r in got) and len(got) <= 100 + 40
+    left = "\n".join(r.text for r in got).split("\n")
+    assert all(line in left for group in lines for line in group)
+    one = [r.doc_id for r in jaccard_join.keep_one(spark.createDataFrame(got), 5, 80).collect()]
+    assert sorted(k % 2 for k in one if k < 100) == [0, 1] and len(one) == 102
+
+
 def test_the_pipeline_takes_lines_out(spark):
     footer = "a line at the foot of every page"
     rows = [(k, f"{' '.join(f'own{k}x{j}' for j in range(80))}\n{footer}", "h") for k in range(30)]
