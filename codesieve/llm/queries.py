@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from codesieve.llm import (
     decontaminate,
+    hard_negatives,
     jaccard_join,
+    lexical_search,
     mixing,
+    pstable,
     quality_rules,
     secret_scan,
     sharding,
@@ -209,3 +212,86 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document once 50-byte strings of smaller documents are taken out."""
     return suffix_dedup.dedup(table(spark, sf_dir, "documents", "doc_id", "text")).drop("kept")
+
+
+NEGATIVES_SQL = r"""
+WITH rows AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, CAST(list_dot_product(a.parts, b.parts) AS BIGINT) AS score
+  FROM rows a, rows b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scores WHERE label = anchor_label)
+  WHERE place <= 5),
+windows AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+  WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 10
+"""
+
+
+@query("op11_hard_negatives", NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive among all embeddings."""
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label))
+
+
+NEAR_VECTORS_SQL = r"""
+WITH RECURSIVE able AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+lengths AS (SELECT *, sqrt(list_dot_product(v, v)) AS length FROM able),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM lengths a JOIN lengths b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (a.length * b.length) >= 0.98),
+reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reached.vec_id, links.b FROM reached JOIN links ON links.a = reached.other),
+component AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN component USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+
+@query("op12_pstable_hashing", NEAR_VECTORS_SQL)
+def op12_pstable_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding at cosine 0.98 within its label."""
+    return pstable.near_copies(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+SEARCH_SQL = r"""
+WITH documents_terms AS (
+  SELECT row_number() OVER () AS d, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT d, doc_id, term, count(*) AS tf FROM documents_terms GROUP BY d, doc_id, term),
+sizes AS (SELECT d, sum(tf)::BIGINT AS n FROM tf GROUP BY d),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM sizes),
+lengths AS (SELECT d, 100 - 25 + ((25 * n * docs) // terms) AS m FROM sizes, totals),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, totals GROUP BY term),
+items AS (
+  SELECT i, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY i, item_id, term),
+scores AS (
+  SELECT i, item_id, d, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (d) GROUP BY i, item_id, d, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op13_lexical_search", SEARCH_SQL)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))

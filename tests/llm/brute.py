@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -146,3 +147,79 @@ def contaminated(docs, items, span=10, literals=5, coverage=0.5):
             if places and len(covered) >= coverage * len(places):
                 found.add((doc_id, item_id))
     return found
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(ASCII_LOWER))
+
+
+def search(docs, items, top=20):
+    """Rows of item_id, rank, doc_id, score, for ``docs`` of doc_id, text and ``items`` of item_id, text."""
+    counts = [(doc_id, Counter(terms(text))) for doc_id, text in docs if terms(text)]
+    n_docs, n_terms = len(counts), sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    weights = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df.items()}
+    out = []
+    for item_id, text in items:
+        found = []
+        for doc_id, c in counts:
+            m = 75 + 25 * sum(c.values()) * n_docs // n_terms
+            score = sum(weights[t] * (10**9 * c[t] // (1000 * c[t] + 12 * m)) for t in terms(text) if t in c)
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0, doc_id))
+        for rank, (score, _, _, doc_id) in enumerate(sorted(found, key=lambda f: f[:3])[:top], 1):
+            out.append((item_id, rank, doc_id, -score))
+    return out
+
+
+def _finite(vector):
+    return vector is not None and all(x is not None and math.isfinite(x) for x in vector)
+
+
+def near_vectors(rows, cosine=0.98):
+    """Rows of vec_id, vector, label to vec_id, n_links, component_id, kept."""
+    able = [label is not None and _finite(v) and any(v) for _, v, label in rows]
+    parent, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def similar(v, w):
+        v, w = ([x / max(map(abs, u)) for x in u] for u in (v, w))
+        return sum(x * y for x, y in zip(v, w)) >= cosine * math.sqrt(sum(x * x for x in v) * sum(x * x for x in w))
+
+    for b in range(len(rows)):
+        for a in range(b):
+            if able[a] and able[b] and rows[a][2] == rows[b][2] and similar(rows[a][1], rows[b][1]):
+                links[a] += 1
+                links[b] += 1
+                parent[find(b)] = find(a)
+    out = []
+    for k, (vec_id, _, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if find(j) == find(k) and rows[j][0] is not None]
+        out.append((vec_id, links[k], min(ids, default=None), vec_id == min(ids, default=None)))
+    return out
+
+
+def negatives(rows, positives=5, keep=10, least=30, most=90):
+    """Rows of vec_id, vector, label to anchor_id, positive_id, rank, negative_id, positive_score, negative_score."""
+    able = [(i, v, label) for i, v, label in rows if label is not None and _finite(v)]
+    whole = [[max(-(1 << 28), min(1 << 28, math.floor(256 * x))) for x in v] for _, v, _ in able]
+    out = []
+    for a, (anchor, _, own) in enumerate(able):
+        if anchor is None or anchor % 100:
+            continue
+        scored = []
+        for b, (vec_id, _, label) in enumerate(able):
+            if a != b:
+                scored.append((-sum(x * y for x, y in zip(whole[a], whole[b])), vec_id is None, vec_id or 0, vec_id, label == own))
+        scored.sort(key=lambda s: s[:3])
+        for target, _, _, positive, _ in [s for s in scored if s[4]][:positives]:
+            near = [s for s in scored if not s[4] and -least * target <= -100 * s[0] <= -most * target][:keep]
+            out += [(anchor, positive, rank, s[3], -target, -s[0]) for rank, s in enumerate(near, 1)]
+    return out
