@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from codesieve.functions import labels
 from codesieve.functions.unnest import unnest
-from codesieve.operators import aggregates, facts, features, heuristics
+from codesieve.operators import aggregates, facts, features, heuristics, rules
 from codesieve.plans import syntax_expected as expected
 from codesieve.plans import views
 from codesieve.plans.registry import query
-from codesieve.plans.sql import SLOTS, q
+from codesieve.plans.sql import SLOTS, hits, q, with_views
 
 
 def _value(value) -> str:
@@ -140,7 +140,29 @@ def ast_path(spark, sf_dir):
     return heuristics.findings_rows(tainted(spark, sf_dir), heuristics.path_traversal())
 
 
-@query("ast_run_all", slot_sql(expected.AST_RUN_ALL, **_FINDING))
+def _run_all_sql() -> str:
+    """Findings on the whole text, searched in SQL, then those that hang on the slot; numbered anew in each file."""
+    signs = " AND ".join(f"contains(code, {q(s)})" for s in rules.DEBUG_TEXT_SIGNS)
+    tests = [(hits("code", r.pattern), r) for r in rules.SECRET_TEXT_RULES]
+    tests += [(signs, rules.DEBUG_TEXT_RULE), (hits("code", rules.XSS_TEXT_RULE.pattern, False), rules.XSS_TEXT_RULE)]
+    parsed = ", ".join(str(row[0]) for row in expected.AST_FACTS if row[1])
+    parts = [
+        f"SELECT file_id, 0 AS part, {k} AS seq, {q(r.name)} AS name, {q(r.severity)} AS severity, {q(r.detail)} AS detail "
+        f"FROM code_files WHERE language = 'py' AND file_id % {SLOTS} IN ({parsed}) AND {test}"
+        for k, (test, r) in enumerate(tests)
+    ]
+    literal = tuple((row[0], *row[2:]) for row in expected.AST_CMDI if row[1] == "literal")
+    for part, rows in enumerate((expected.AST_SQLI, literal, expected.AST_PATH, expected.AST_UNPARSABLE), 1):
+        if rows:
+            parts.append(f"SELECT file_id, {part} AS part, seq, name, severity, detail FROM ({slot_sql(rows, **_FINDING)})")
+    return with_views(
+        "SELECT file_id, CAST(row_number() OVER (PARTITION BY file_id ORDER BY part, seq) - 1 AS INTEGER) AS seq, name, severity, "
+        f"detail FROM ({' UNION ALL '.join(parts)})",
+        "code_files",
+    )
+
+
+@query("ast_run_all", _run_all_sql())
 def ast_run_all(spark, sf_dir):
     judged = heuristics.with_heuristics(tainted(spark, sf_dir))
     return heuristics.findings_rows(judged, F.col("heuristics"))
