@@ -368,33 +368,6 @@ def rules_table(spark, rules: dict[str, tuple[Rule, ...]] | None = None) -> Data
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
-#: Copies of each rule, over which the lines of its language are spread.
-RULE_SALTS = 16
-
-
-def join_rules(
-    files: DataFrame, rules: DataFrame, keep: tuple[str, ...] = ("file_id",), snippet: int = 80, salts: int = RULE_SALTS
-) -> DataFrame:
-    """Lines joined with a rule table: equal language, and the pattern is found in the line.
-
-    A few languages hold most lines. Lines therefore carry a salt from file and line besides their language, and each
-    rule is repeated for every salt. Whether the rules are sent to the lines is left to the planner and their size.
-    """
-    split = unnest(files, (*keep, "language"), lines(F.col("code")), "text", "at")
-    live = split.where(~is_skipped(F.col("text"))).withColumn("salt", F.pmod(F.xxhash64(*keep, "at"), F.lit(salts)))
-    fields = ("rule_order", "type", "severity")
-    spread = rules.select(
-        "language", *fields, "pattern", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("salt")
-    )
-    matched = live.join(spread, ["language", "salt"]).where(F.rlike("text", F.col("pattern")))
-    return matched.select(
-        *keep,
-        (F.col("at") + 1).alias("line"),
-        *fields,
-        F.substring(strip(F.col("text")), 1, snippet).alias("snippet"),
-    )
-
-
 def text_points(language: str, code: str) -> Column:
     """Points of the additive score: every rule counts once when found anywhere in the whole text."""
     out = F.lit(0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from codesieve.functions.unnest import unnest_structs
 from codesieve.functions.text import folded
-from codesieve.operators import aggregates, rules, scan, scoring
+from codesieve.operators import aggregates, rule_index, rules, scan, scoring
 from codesieve.plans import sql, views
 from codesieve.plans.registry import query
 from codesieve.plans.sql import q, with_views
@@ -59,7 +59,7 @@ for _name, _language in (
     ),
 )
 def rel_rules_join(spark, sf_dir):
-    return rules.join_rules(_routed(spark, sf_dir), rules.rules_table(spark))
+    return rule_index.join_rules(_routed(spark, sf_dir), rules.rules_table(spark))
 
 
 @query(
