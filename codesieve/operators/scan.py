@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codesieve.functions import languages
+from codesieve.functions import languages, text
 from codesieve.functions.unnest import unnest_structs
-from codesieve.operators import rules, scoring
+from codesieve.operators import flat_forest, rules, scoring, vectors
+from codesieve.operators.flat_forest import FlatTextModel
 
 #: Columns that identify a file in a report.
 REPORT_KEY = ("file_id", "path", "language")
@@ -56,13 +56,26 @@ def model_of(language: Column, available: Iterable[str]) -> Column:
     return out
 
 
-def route_models(files: DataFrame, models: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Score every file by the model of its language; files without a model get 0.0.
+def route_models(files: DataFrame, models: dict[str, Column]) -> DataFrame:
+    """Add ``model`` and ``ml_prob``: every file by the model of its language, 0.0 without one or without a value.
 
-    ``models`` maps a name to a function that adds ``ml_prob``.
+    ``models`` maps a name to the column that gives its probability; all are part of one pass over the files.
     """
     routed = files.withColumn("model", model_of(F.col("language"), models))
-    parts = [score(routed.where(F.col("model") == name)) for name, score in sorted(models.items())]
-    rest = routed.where("model IS NULL").withColumn("ml_prob", F.lit(0.0))
-    columns = [*routed.columns, F.coalesce("ml_prob", F.lit(0.0)).alias("ml_prob")]
-    return reduce(DataFrame.unionByName, [part.select(*columns) for part in (rest, *parts)])
+    prob = F.lit(0.0)
+    for name, value in sorted(models.items()):
+        prob = F.when(F.col("model") == name, value).otherwise(prob)
+    return routed.withColumn("ml_prob", F.coalesce(prob, F.lit(0.0)))
+
+
+def route_text_models(
+    files: DataFrame,
+    models: dict[str, FlatTextModel],
+    words: dict[str, tuple[str, ...]],
+    stop: dict[str, tuple[str, ...]],
+) -> DataFrame:
+    """As :func:`route_models` for stored text models, with the keywords and stop words of each: one pass, one Python step."""
+    routed = files.withColumn("model", model_of(F.col("language"), models))
+    shaped = vectors.with_routed_input(routed, "model", text.clean_multi(F.col("code")), words, stop)
+    scored = shaped.withColumn("ml_prob", flat_forest.score(files, models, "terms", "keywords"))
+    return scored.drop("terms", "keywords")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codesieve.functions import labels, languages, profiles, text
-from codesieve.operators import anomaly, features, heuristics, metrics, models, sampling, scan, vectors
+from codesieve.operators import anomaly, features, flat_forest, heuristics, metrics, models, sampling, scan, vectors
 from codesieve.operators.facts import with_facts
 from codesieve.plans import set_queries, syntax_queries, views
 from codesieve.plans.registry import query
@@ -212,37 +212,25 @@ def store_models(spark, sf_dir) -> str:
     return registry
 
 
-def scorers(registry: str) -> dict:
-    """For each stored model, what adds its probability to files."""
-
-    def scorer(profile: str, name: str):
-        model = models.load(registry, name)
-
-        def score(files):
-            shaped = vectors.with_model_input(
-                files, text.clean_multi(F.col("code")), profiles.KEYWORDS[profile], profiles.STOP_WORDS[profile]
-            )
-            return models.with_probability(model, shaped).withColumnRenamed("prob", "ml_prob")
-
-        return score
-
-    return {name: scorer(profile, name) for profile, name in MODEL_NAMES.items()}
+def scored_files(spark, sf_dir):
+    """All files with the probability of the stored model of their language, in one scan."""
+    registry = store_models(spark, sf_dir)
+    loaded = {name: flat_forest.flat_text_model(models.load(registry, name), spark) for name in MODEL_NAMES.values()}
+    words = {name: profiles.KEYWORDS[profile] for profile, name in MODEL_NAMES.items()}
+    stop = {name: profiles.STOP_WORDS[profile] for profile, name in MODEL_NAMES.items()}
+    return scan.route_text_models(scan.route(views.code_files(spark, sf_dir)), loaded, words, stop)
 
 
 @query("mdl_persist")
 def mdl_persist(spark, sf_dir):
     """Train, store and load one model per language, then score all files by their own model."""
-    files = scan.route(views.code_files(spark, sf_dir))
-    routed = scan.route_models(files, scorers(store_models(spark, sf_dir)))
-    return routed.select("file_id", "language", "model", F.round("ml_prob", 6).alias("ml_prob"))
+    return scored_files(spark, sf_dir).select("file_id", "language", "model", F.round("ml_prob", 6).alias("ml_prob"))
 
 
 @query("rep_files_model")
 def rep_files_model(spark, sf_dir):
     """The scan of all files with the probability of each language's model."""
-    files = scan.route(views.code_files(spark, sf_dir))
-    scored = scan.route_models(files, scorers(store_models(spark, sf_dir))).select(*files.columns, "ml_prob")
-    report = scan.scan(scored, F.col("ml_prob"))
+    report = scan.scan(scored_files(spark, sf_dir).drop("model"), F.col("ml_prob"))
     return report.select("file_id", "language", "verdict", F.round("score", 4).alias("score"), F.round("ml_prob", 6).alias("ml_prob"))
 
 

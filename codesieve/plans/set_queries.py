@@ -497,7 +497,7 @@ def rel_model_route(spark, sf_dir):
     files = scan.route(views.code_files(spark, sf_dir))
     length = F.length("code")
     stand_ins = {
-        "java": lambda df: df.withColumn("ml_prob", (length % 100) / F.lit(100.0)),
-        "hybrid": lambda df: df.withColumn("ml_prob", (length % 50) / F.lit(50.0)),
+        "java": (length % 100) / F.lit(100.0),
+        "hybrid": (length % 50) / F.lit(50.0),
     }
     return scan.route_models(files, stand_ins).select("file_id", "language", "model", "ml_prob")
