@@ -1,6 +1,8 @@
 """Self-join of documents by Jaccard similarity of word shingles, with adaptive multi-match prefixes.
 
-Shingles are ordered by their hash. A document of ``n`` shingles whose partners must share ``o`` of them can only
+Shingles are ordered by how many sets hold them, rarest first, then by their hash. The frequencies come from a sketch
+of fixed size (two rows of counters over all documents, of which the binary logarithms are kept): it decides what a join
+costs, never what it finds, for any one order of all shingles is exact. A document of ``n`` shingles whose partners must share ``o`` of them can only
 have partners that share at least ``l`` shingles within its first ``n - o + l`` (and theirs): the prefix may be
 lengthened, and then more matches may be asked for. Every document's stored prefix is indexed; how much of it a document
 looks up, it decides by its estimated cost. Looking up costs the lengths of the lists its shingles stand in, verifying
@@ -11,8 +13,8 @@ document with common shingles in its prefix lengthens it until it can do without
 Large groups are never spelled out in pairs:
 
 * Documents with equal shingle sets are one class with one representative; only representatives are joined.
-* Every shingle's list is first linked to one pivot, the most central member, if both share most of their stored
-  prefixes. The components of these unverified links are *clusters*.
+* Every shingle's list is first linked to one pivot, the most central member, if it holds a third of those stored shingles
+  of a member that stand in other sets too. The components of these unverified links are *clusters*.
 * Within a cluster, members are first verified against their pivots and closed to components. What is left in different
   components is compared chunk by chunk: a task gets two chunks of bounded size, counts shared shingles in an inverted
   index and returns verified links only. A cluster whose members are all linked with its pivot costs nothing here.
@@ -33,6 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +45,12 @@ from codesieve.llm.store import Store
 
 WORDS = 5
 PERCENT = 80
+#: A document joins the cluster of a pivot that holds one in so many of its shared stored shingles.
+PIVOT_SHARE = 3
 #: Documents of a cluster that are compared with as many others in one task.
 CHUNK = 256
+#: Counters in each of the two rows of the frequency sketch, and in a piece of it that travels by itself.
+COUNTERS, PIECE = 1 << 21, 1 << 16
 SKETCH = "row long, doc_id long, text_key long, n int, set_a long, set_b long, tokens array<long>"
 INDEX = "node long, n int, stored int, central int, token long, place int"
 PROBES = "node long, n int, label long, ask int, token long"
@@ -62,7 +69,7 @@ def prefix_length(n: int, percent: int) -> int:
 def stored_length(n: int, percent: int) -> int:
     """Shingles of the longest prefix, which is indexed."""
     need = prefix_length(n, percent)
-    return min(n, need + max(24, need // 2))
+    return min(n, need + max(12, need // 2))
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -89,7 +96,72 @@ def _set_keys(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(sums.view(np.int64).tolist())
 
 
-def _sketcher(words: int, percent: int) -> Callable:
+def _slots(shingles: np.ndarray) -> list[np.ndarray]:
+    """The counters of each shingle, one in each row."""
+    bits = np.uint64(64 - int(math.log2(COUNTERS)))
+    return [(shingles * factor) >> bits for factor in (bytetext._P, bytetext._Q)]
+
+
+def _counter(words: int) -> Callable:
+    """How many sets hold the shingles that share a counter, in pieces; a task's counts end at the largest that fits."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, COUNTERS), np.uint32)
+        held, size = [], 0
+
+        def add() -> None:
+            for row, slots in zip(counts, _slots(np.concatenate(held))):
+                row += np.bincount(slots.view(np.int64), minlength=COUNTERS).astype(np.uint32)
+
+        for batch in batches:
+            for shingles in shingle_sets(batch.column("text"), words):
+                held, size = [*held, shingles] if size else [shingles], size + len(shingles)
+                if size >= COUNTERS:
+                    add()
+                    held, size = [], 0
+        if held:
+            add()
+        pieces = np.minimum(counts, 65_535).astype(np.uint16).reshape(-1, PIECE)
+        some = np.flatnonzero(pieces.any(axis=1))
+        task = pa.array(np.full(len(some), TaskContext.get().partitionId()))
+        data = pa.array([pieces[k].tobytes() for k in some.tolist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(some), task, data], ["piece", "task", "counts"])
+
+    return count
+
+
+def _summed(kind: np.dtype) -> Callable:
+    def total(table: pa.Table) -> pa.Table:
+        counts = np.zeros(PIECE, np.uint32)
+        for data in table.column("counts").to_pylist():
+            counts += np.frombuffer(data, kind)
+        return pa.table({"piece": table.column("piece")[:1], "task": table.column("task")[:1], "counts": [counts.tobytes()]})
+
+    return total
+
+
+def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
+    """The binary logarithms of two rows of counters over all rows of ``docs``: a sketch of fixed size.
+
+    Tasks count for themselves; their counters are summed in two steps, so that no task gets those of all others.
+    """
+    schema = "piece long, task long, counts binary"
+    pieces = docs.select("text").mapInArrow(_counter(words), schema)
+    some = pieces.groupBy("piece", F.floor(F.col("task") / 64).alias("part")).applyInArrow(_summed(np.dtype(np.uint16)), schema)
+    whole = some.groupBy("piece").applyInArrow(_summed(np.dtype(np.uint32)), schema).toArrow()
+    counts = np.zeros((2 * COUNTERS // PIECE, PIECE), np.uint32)
+    for piece, data in zip(whole.column("piece").to_pylist(), whole.column("counts").to_pylist()):
+        counts[piece] = np.frombuffer(data, np.uint32)
+    return np.frexp(counts.astype(np.float64))[1].astype(np.uint8).reshape(2, COUNTERS)
+
+
+def _rarest_first(shingles: np.ndarray, classes: np.ndarray, length: int) -> np.ndarray:
+    """The first shingles of a set (sorted by hash) in the order of all sets: by frequency class, then by hash."""
+    known = np.minimum(*(row[slots] for row, slots in zip(classes, _slots(shingles))))
+    return shingles[np.argsort(known, kind="stable")[:length]]
+
+
+def _sketcher(words: int, percent: int, classes: np.ndarray) -> Callable:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, heads = [], [], []
@@ -97,7 +169,7 @@ def _sketcher(words: int, percent: int) -> Callable:
                 n = len(shingles)
                 sizes.append(n)
                 keys.append(_set_keys(shingles))
-                heads.append(shingles[: stored_length(n, percent)])
+                heads.append(_rarest_first(shingles, classes, stored_length(n, percent)))
             offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
             tokens = bytetext.to_long(np.concatenate(heads)) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -170,9 +242,10 @@ def _centrality(percent: int) -> Callable:
             counts, offsets, flat = _hits(batch)
             place, length, token = (flat.field(f) for f in ("place", "length", "token"))
             sums = np.concatenate([[0], np.cumsum(np.log2(length.to_numpy()))])
-            sizes = batch.column("n").to_pylist()
-            stored = np.array([stored_length(n, percent) for n in sizes], np.int32)
-            central = ((sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(stored, 1) * 1_000_000).astype(np.int32)
+            # Edits stand first and in no other set: the shared shingles alone tell how close two sets may be.
+            stored = counts.astype(np.int32)
+            lengths = [stored_length(n, percent) for n in batch.column("n").to_pylist()]
+            central = ((sums[offsets[1:]] - sums[offsets[:-1]]) / np.maximum(lengths, 1) * 1_000_000).astype(np.int32)
             again = lambda values: pa.array(np.repeat(values, counts))
             yield pa.RecordBatch.from_arrays(
                 [*[again(batch.column(c).to_numpy()) for c in ("node", "n")], again(stored), again(central), token, place],
@@ -246,7 +319,8 @@ class Join:
         text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key)
         numbered = self.docs.withColumn("row", F.monotonically_increasing_id())
-        self.sketch = self.store.keep(numbered.mapInArrow(_sketcher(words, percent), SKETCH), "sketch")
+        sketcher = _sketcher(words, percent, frequency_classes(self.docs, words))
+        self.sketch = self.store.keep(numbered.mapInArrow(sketcher, SKETCH), "sketch")
         same = ["n", "set_a", "set_b"]
         sets = self.sketch.where("n > 0")
         self.classes = sets.groupBy(*same).agg(F.min("row").alias("node"))
@@ -266,7 +340,7 @@ class Join:
         return listed.mapInArrow(_centrality(self.percent), INDEX)
 
     def _star_pairs(self) -> DataFrame:
-        """Every member of a shingle's list with the pivot of the list, if they share most of their stored prefixes.
+        """Every member of a shingle's list with the pivot of the list, if they share enough of their stored prefixes.
 
         The pivot is the member whose own shingles stand in the longest lists: among copies that were each edited
         a little, the one they were made from, which is closer to all of them than they are to each other.
@@ -276,7 +350,7 @@ class Join:
         met = self.index.join(pivots, "token").where("node <> p.pivot")
         met = met.where(self._similar_size("n", "p.pivot_n"))
         shared = met.groupBy("node", F.col("p.pivot").alias("pivot"), "n", "stored").agg(F.count("*").alias("shared"))
-        most = shared.where(5 * F.col("shared") >= 3 * F.col("stored"))
+        most = shared.where(PIVOT_SHARE * F.col("shared") >= F.col("stored"))
         return most.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
     def _cluster_links(self, clusters: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
