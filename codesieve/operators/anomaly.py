@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codesieve.operators.ranking import hash_cut, row_hash, running_by_score
+from codesieve.operators.ranking import running_by_score
+from codesieve.session import materialise
 
 # Trees, rows per tree, share of rows that count as anomalies.
 TREES = 100
@@ -49,19 +50,30 @@ def _grow(tree: int, values: np.ndarray) -> list[tuple]:
     return nodes
 
 
+def _draw(key: str, tree) -> Column:
+    """An evenly spread 64-bit number for a row and a tree."""
+    return F.xxhash64(F.lit("isolation"), F.col(key), tree)
+
+
 def samples(train: DataFrame, key: str, columns: Sequence[str], trees: int = TREES, size: int = SAMPLE) -> DataFrame:
-    """(tree, values): ``size`` distinct rows per tree, drawn by hash.
+    """(tree, values): for each tree the ``size`` rows of the whole table with the smallest draws of its own.
 
-    A pool of at most ``trees · size`` rows is cut out of the table first, without shuffling it; only
-    the pool is repeated per tree.
+    One pass: a row goes only to the trees whose draw for it is so small that about twice ``size`` rows of the table come
+    that low, so what is ordered per tree has one size whatever the table's. Should a tree get too few, the bound is raised.
     """
-    cut = hash_cut(train, key, [], F.lit(trees * size), "pool").first().cut
+    total = train.count()
     values = F.array(*[F.col(c).cast("double") for c in columns]).alias("values")
-    pool = train.where(row_hash(key, "pool") <= cut).select(key, values)
-    each = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    mixed = F.md5(F.concat_ws(":", F.col("tree").cast("string"), F.col(key).cast("string")))
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy(mixed))
-    return each.withColumn("_rank", rank).where(F.col("_rank") <= size).select("tree", "values")
+    share = min(1.0, 2.0 * (size + 32) / max(total, 1))
+    while True:
+        bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+        low = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: _draw(key, tree) <= F.lit(bound))
+        drawn = materialise(train.select(key, values, F.explode(low).alias("tree")), "drawn")
+        full = drawn.groupBy("tree").agg(F.count("*").alias("n")).where(F.col("n") >= min(size, total)).count()
+        if share >= 1 or full == trees:
+            break
+        share = min(1.0, 4 * share)
+    rank = F.row_number().over(Window.partitionBy("tree").orderBy(_draw(key, F.col("tree")), key))
+    return drawn.withColumn("_rank", rank).where(F.col("_rank") <= size).select("tree", "values")
 
 
 @dataclass(frozen=True)

@@ -57,8 +57,9 @@ def mdl_forest(spark, sf_dir):
     train, test = parts(models.assemble(structural(spark, sf_dir), COLUMNS))
     weighted = sampling.with_class_weight(train, "label")
     plain = judged(models.with_probability(models.forest("structural").fit(train), test), "100 trees")
+    risk = judged(models.with_probability(models.forest("risk").fit(train), test), "120 trees, depth 12")
     deep = models.forest("notebook", "weight").fit(weighted)
-    return plain.unionByName(judged(models.with_probability(deep, test), "300 trees, balanced"))
+    return plain.unionByName(risk).unionByName(judged(models.with_probability(deep, test), "300 trees, balanced"))
 
 
 @query("mdl_svm_rbf")
@@ -73,31 +74,27 @@ SEARCH_ROWS = 20_000
 
 @query("mdl_search")
 def mdl_search(spark, sf_dir):
-    """Random search over both kinds of model, 20 settings and 5 folds each; accuracy and AUC of both winners on held-out
-    rows, and the one that is picked by AUC. At most ``SEARCH_ROWS`` labelled rows, drawn by hash, train the models."""
+    """Random search over both kinds of model, 20 settings and 5 folds each; report of both classes, accuracy and AUC of both
+    winners on held-out rows, and the one that is picked by AUC, the forest if both are equal. At most ``SEARCH_ROWS`` labelled rows, drawn by hash, train the models."""
     train, test = scaled(structural(spark, sf_dir), features.FEATURES_10)
     train = train.orderBy(F.xxhash64("file_id"), "file_id").limit(SEARCH_ROWS)
     train = materialise(train.select("features", "label"), "train")
     forest, forest_settings, forest_accuracy = models.search_forest(train)
-    _, machine_settings, machine_accuracy = models.search_machine(train)
-    by_name = {p.name: v for p, v in machine_settings.items()}
-    kernel, _, gamma = by_name["featuresCol"].partition("_")
-    c = 1.0 / (by_name["regParam"] * train.count())
-    machine = models.fit_kernel_machine(train, kernel, c, gamma or "scale")
-    rows = []
+    machine, machine_settings, machine_accuracy = models.search_machine(train)
+    found, reports = [], []
     for name, settings, accuracy, scored in (
-        ("forest", forest_settings, forest_accuracy, models.with_probability(forest, test)),
+        ("forest", {p.name: v for p, v in forest_settings.items()}, forest_accuracy, models.with_probability(forest, test)),
         ("machine", machine_settings, machine_accuracy, machine.transform(test)),
     ):
-        shown = "; ".join(f"{p.name}={v}" for p, v in sorted(settings.items(), key=lambda e: e[0].name))
+        shown = "; ".join(f"{key}={value}" for key, value in sorted(settings.items()))
         scored = materialise(scored.select("label", "pred", "prob"), "scored")
-        judged = metrics.binary(scored).first()
-        rows.append((name, shown, float(accuracy), judged.accuracy, metrics.auc(scored).first().auc))
-    best = max(rows, key=lambda r: (r[4] or 0.0, r[0]))[0]
-    return spark.createDataFrame(
-        [(*r, r[0] == best) for r in rows],
-        "model string, settings string, fold_accuracy double, accuracy double, auc double, picked boolean",
-    )
+        judged, auc = metrics.binary(scored).first(), metrics.auc(scored).first()
+        found.append((name, shown, float(accuracy), judged.accuracy, auc.auc if auc else None))
+        reports.append(metrics.class_report(scored).select(F.lit(name).alias("model"), "*"))
+    picked = models.pick({row[0]: row[4] for row in found})
+    schema = "model string, settings string, fold_accuracy double, test_accuracy double, auc double, picked boolean"
+    winners = spark.createDataFrame([(*row, row[0] == picked) for row in found], schema)
+    return reports[0].unionByName(reports[1]).join(F.broadcast(winners), "model")
 
 
 def risk_model(spark, sf_dir, rows):
