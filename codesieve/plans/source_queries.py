@@ -206,7 +206,9 @@ def str_scan_new_files(spark, sf_dir):
     files = views.code_files(spark, sf_dir).select("file_id", "path", "code")
     files.repartition(4).write.parquet(arriving)
     stream = streams.read_files(spark, arriving, files.schema, per_batch=2)
-    done = streams.through_stream(spark, stream, streams.scan_new_files, out, state)
+    scanned = streams.scan_new_files(stream)
+    streams.run_batches(scanned, out, state)
+    done = streams.written_batches(spark, out, scanned.schema).drop("batch")
     return done.withColumn("findings", rule_queries.flat_findings())
 
 
@@ -229,18 +231,14 @@ def str_dedupe(spark, sf_dir):
 
 @query(
     "str_event_windows",
-    """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n FROM (
-    SELECT date_trunc('hour', ts) AS window_start, event_type FROM events) WHERE window_start + INTERVAL 1 HOUR <=
-    (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events) GROUP BY ALL""",
+    """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type, count(*) AS n,
+    CASE WHEN window_start + INTERVAL 1 HOUR <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)
+    THEN 'closed' ELSE 'open' END AS state FROM (
+    SELECT date_trunc('hour', ts) AS window_start, event_type FROM events) GROUP BY ALL
+    UNION ALL SELECT NULL, NULL, NULL, 0, 'late'""",
 )
 def str_event_windows(spark, sf_dir):
     events = views.table(spark, sf_dir, "events")
     stream = streams.read_files(spark, sf_dir, events.schema, "events.parquet")
-    counted = streams.through_stream(
-        spark,
-        _timed(stream),
-        streams.count_windows,
-        scratch_path(spark, "windows"),
-        scratch_path(spark, "state"),
-    )
-    return counted.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    run = streams.run_windows(spark, _timed(stream), scratch_path(spark, "windows"), scratch_path(spark, "state"))
+    return run.rows().withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from codesieve.functions import text
-from codesieve.operators import anomaly, metrics, models, ranking, sampling, sets, vectors
+from codesieve.operators import anomaly, kernel_machine, metrics, ranking, sampling, sets, vectors
 
 DRAW = random.Random(1)
 KEYS = sorted({DRAW.randrange(-(2**62), 2**62) for _ in range(300)}) + [2**62 + i for i in range(200)]
@@ -103,12 +103,10 @@ def test_term_counts(spark):
         assert {c.term: c.tf for c in row.counts} == {t: terms.count(t) for t in terms}
 
 
-def test_fourier_map_approximates_the_kernel(spark):
-    points = [(0.0, 0.0), (0.5, -0.2), (1.0, 1.0)]
-    table = models.assemble(spark.createDataFrame(points, "a double, b double"), ["a", "b"])
-    lifted = models.FourierMap(0.5, 2, size=4000).transform(table).collect()
-    vectors_ = np.array([r.fourier.toArray() for r in lifted])
+def test_nystrom_map_approximates_the_kernel():
+    draw = np.random.default_rng(9)
+    points = np.array([(0.0, 0.0), (0.5, -0.2), (1.0, 1.0)])
+    mapped = kernel_machine.NystromMap.fit(draw.normal(size=(200, 2)), 0.5)(points)
     for i, p in enumerate(points):
         for j, q in enumerate(points):
-            exact = math.exp(-0.5 * sum((x - y) ** 2 for x, y in zip(p, q)))
-            assert vectors_[i] @ vectors_[j] == pytest.approx(exact, abs=0.08)
+            assert mapped[i] @ mapped[j] == pytest.approx(math.exp(-0.5 * ((p - q) ** 2).sum()), abs=0.02)
