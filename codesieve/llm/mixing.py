@@ -15,8 +15,8 @@ the random key) and over the cells, never over a whole source. Weights are round
 all later arithmetic is in whole numbers.
 
 Defined results: tokens are words; a null source counts as the empty name; rows with the same id, text and source move
-together, their number is in ``copies``; a source without any token has weight 0 and no rows; an empty table has no
-rows; other columns are neither read nor returned.
+together, their number is in ``copies``; units without a token are seen once, in epoch 0 and a block drawn by hash, whatever
+the weight of their source; a source without any token has weight 0; an empty table has no rows; other columns are neither read nor returned.
 """
 
 from __future__ import annotations
@@ -136,7 +136,8 @@ def mix(
     sources = store.keep(
         seen.groupBy("source").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_units")), "sources"
     )
-    weighted = store.keep(weights(sources, max_epochs, entropy, min_epochs, budget)[0], "weights")
+    weighted, _, tokens = weights(sources, max_epochs, entropy, min_epochs, budget)
+    weighted = store.keep(weighted, "weights")
     plan = weighted.select(
         "source",
         "weight",
@@ -145,7 +146,7 @@ def mix(
         F.ceil(F.col("n_units") / CELL_ROWS).cast("long").alias("cells"),
     )
     last = F.floor((F.col("quota") - 1) / F.col("available"))
-    turns = seen.join(plan, "source").where("quota > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("epoch"))
+    turns = seen.where("n_tokens > 0").join(plan, "source").where("quota > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("epoch"))
     key = F.xxhash64(F.lit(seed), "source", "epoch", "doc_id", "text_key").bitwiseAND(F.lit((1 << 62) - 1))
     drawn = turns.withColumn("key", key).withColumn("cell", F.floor(F.col("key") / F.ceil(F.lit(1 << 62) / F.col("cells"))))
     before = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -158,11 +159,15 @@ def mix(
         "start", F.col("epoch") * F.col("available") + F.col("above") + within
     )
     block = F.floor(F.col("start").cast("decimal(38,0)") * PARTS / (F.col("weight").cast("decimal(38,0)") * block_tokens))
-    taken = placed.where("start < quota").withColumn("block", block.cast("long"))
+    unit = ["doc_id", "source", "text_key", "copies", "n_tokens", "epoch"]
+    taken = placed.where("start < quota").withColumn("block", block.cast("long")).select(*unit, "block")
+    spread = F.pmod(F.xxhash64(F.lit(seed), "source", "doc_id", "text_key"), F.lit(max(1, -(-tokens // block_tokens))))
+    bare = seen.where("n_tokens = 0").withColumn("epoch", F.lit(0).cast("long")).select(*unit, spread.alias("block"))
+    taken = taken.unionByName(bare)
     draw = F.xxhash64(F.lit(seed + 1), "block", "doc_id", "text_key", "epoch")
     order = Window.partitionBy("block").orderBy(draw, "doc_id", "text_key", "source", "epoch")
     return taken.select(
-        "doc_id", "source", "text_key", "copies", "n_tokens", "epoch", "block", (F.row_number().over(order) - 1).cast("long").alias("slot")
+        *unit, "block", (F.row_number().over(order) - 1).cast("long").alias("slot")
     )
 
 

@@ -22,6 +22,7 @@ both kinds there is no forest, and every candidate stays with a null probability
 from __future__ import annotations
 
 import hashlib
+import bisect
 import math
 import re
 from collections import Counter
@@ -171,17 +172,24 @@ class Language:
 
 
 def _candidates(text: str) -> Iterator[tuple[int, str, str, str, str]]:
-    taken: list[tuple[int, int]] = []
+    # Places taken by strict findings, which never overlap, in their order.
+    begins: list[int] = []
+    ends: list[int] = []
     for name, pattern in DETECTORS:
+        found = []
         for match in pattern.finditer(text):
             start, end = match.span(1)
-            if any(start < e and s < end for s, e in taken):
+            last = bisect.bisect_left(begins, end) - 1
+            if last >= 0 and ends[last] > start:
                 continue
             if name in STRICT:
-                taken.append((start, end))
+                found.append((start, end))
             before = " ".join(text[max(0, start - 80) : start].split()[-3:])
             after = " ".join(text[end : end + 80].split()[:2])
             yield start, name, match[1], before, after
+        if found:
+            taken = sorted([*zip(begins, ends), *found])
+            begins, ends = [b for b, _ in taken], [e for _, e in taken]
 
 
 def scan(docs: DataFrame) -> DataFrame:

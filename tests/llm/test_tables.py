@@ -5,6 +5,7 @@ import gzip
 import io
 import math
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -230,12 +231,41 @@ def test_mixture_on_documents(spark, small):
 def test_mixture_on_odd_documents(odd, nothing, documents):
     rows = mixing.mixed_rows(odd)
     assert rows.columns == odd.columns
-    with_words = {s or "" for _, t, _, s in documents if brute.words(t)}
-    want = {(i, t) for i, t, _, s in documents if (s or "") in with_words}
-    assert {(r.doc_id, r.text) for r in rows.collect()} == want
+    assert {(r.doc_id, r.text) for r in rows.collect()} == {(i, t) for i, t, _, _ in documents}
     assert mixing.mix(nothing).count() == 0
 
 
+def test_units_without_tokens_are_seen_once(spark):
+    rows = [(k, "" if k % 2 else "three short words", "big") for k in range(200)] + [(1000 + k, f"a b {k}", "small") for k in range(9)]
+    rows += [(2000 + k, " ", "bare") for k in range(5)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_tokens=100).collect()
+    seen = Counter(r.doc_id for r in got)
+    assert set(seen) == {r[0] for r in rows}
+    empty = [r for r in got if not r.n_tokens]
+    assert len(empty) == 105 and all(r.epoch == 0 and seen[r.doc_id] == 1 for r in empty)
+    assert len({r.block for r in empty}) > 2
+    slots = defaultdict(list)
+    for r in got:
+        slots[r.block].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_candidates_of_long_texts():
+    parts = [f'token = "k{k}9f86d081884c7d65" password={k}hunter2hunter AKIAABCDEFGHIJKL{k % 90 + 10}OP' for k in range(300)]
+    text = " and ".join(parts)
+    taken, want = [], []
+    for name, pattern in secret_scan.DETECTORS:
+        for match in pattern.finditer(text):
+            start, end = match.span(1)
+            if not any(start < e and s < end for s, e in taken):
+                taken += [(start, end)] * (name in secret_scan.STRICT)
+                want.append((start, name, match[1]))
+    assert [c[:3] for c in secret_scan._candidates(text)] == want and len(want) >= 900
+    begun = time.perf_counter()
+    assert sum(1 for _ in secret_scan._candidates(" and ".join(parts * 50))) > 40_000
+    assert time.perf_counter() - begun < 20
+
+
 def test_forest_tells_held_out_findings_apart(spark):
     """Accuracy on findings whose values no training row holds."""
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", F.col("source").alias("path"))
