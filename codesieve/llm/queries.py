@@ -179,7 +179,7 @@ def op5_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     old, new = counts.where(F.col("tokenizer") == first), counts.where(F.col("tokenizer") == second)
     batches = {
         "inserts": change("insert", old),
-        "recounts": change("revise", new),
+        "recounts": change("revise", new).withColumn("replaces", F.lit(first)),
         "deletes": change("delete", old.join(toxic, "doc_id", "left_semi")),
     }
     rollup = token_rollup.Rollup(spark, store.path("rollup"))

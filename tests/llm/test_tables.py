@@ -72,37 +72,54 @@ CHANGE = "op string, seq int, doc_id long, source string, lang string, tokenizer
 
 def test_rollup_equals_a_recount_and_batches_count_once(spark):
     draw = random.Random(5)
-    rollup = token_rollup.Rollup(spark, Store(spark, "test").path("rollup"))
+    rollup = token_rollup.Rollup(spark, Store(spark, "test").path("rollup"), buckets=4, every=3)
     state, unnamed = {}, Counter()
     assert rollup.totals().count() == 0
-    for number in range(4):
+    for number in range(5):
         rows = []
-        for seq in range(25):
+        for seq in range(25 if number != 2 else 0):
             doc = draw.choice([None, *range(12)])
-            op = draw.choice(["insert", "insert", "revise", "delete"])
-            key = (draw.choice(["a", "b", None]), draw.choice(["en", None]), draw.choice(["v1", "v2"]))
-            rows.append((op, seq, doc, *key, draw.choice([None, 0, 5, 9])))
-        frame = spark.createDataFrame(rows, CHANGE).repartition(2)
+            op = draw.choice(["insert", "insert", "revise", "revise", "delete"])
+            key = (draw.choice(["a", "b", None]), draw.choice(["en", None]), draw.choice(["v1", "v2", None]))
+            rows.append((op, seq, doc, *key, draw.choice([None, 0, 5, 9]), draw.choice([None, None, "v1", "v2"])))
+        frame = spark.createDataFrame(rows, CHANGE + ", replaces string").repartition(2)
         assert rollup.commit(f"b{number}", frame)
         assert not rollup.commit(f"b{number}", frame)
-        last = {r[2]: r for r in rows if r[2] is not None}
-        for op, _, doc, *rest in last.values():
-            if op == "delete":
-                state.pop(doc, None)
-            elif op == "insert" or doc in state:
-                state[doc] = (*rest[:3], rest[3] or 0)
-        for op, _, doc, *rest in rows:
-            if doc is None and op == "insert":
-                unnamed[tuple(rest[:3])] += 1
-                unnamed[(*rest[:3], "n")] += rest[3] or 0
+        before = set(state)
+        for op, _, doc, source, lang, version, n, replaces in rows:
+            if doc is None:
+                if op == "insert":
+                    unnamed[source, lang, version] += 1
+                    unnamed[source, lang, version, "n"] += n or 0
+            elif op == "delete":
+                for known in [k for k in state if k[0] == doc]:
+                    del state[known]
+            elif op == "insert" or (doc, replaces or version) in before:
+                if op == "revise" and replaces:
+                    state.pop((doc, replaces), None)
+                state[doc, version] = (source, lang, n or 0)
         docs, tokens = Counter(), Counter()
-        for *key, n in state.values():
-            docs[tuple(key)] += 1
-            tokens[tuple(key)] += n
+        for (_, version), (source, lang, n) in state.items():
+            docs[source, lang, version] += 1
+            tokens[source, lang, version] += n
         for key, n in unnamed.items():
             (tokens if len(key) == 4 else docs)[key[:3]] += n
         want = [(*k, n, tokens[k]) for k, n in docs.items() if n or tokens[k]]
         assert ordered(map(tuple, rollup.totals().collect())) == ordered(want)
+    held = {(r.doc_id, r.tokenizer): (r.source, r.lang, r.n_tokens) for r in rollup.ledger().collect()}
+    assert held == state
+    assert len(rollup._parts()[0]) < 4
+
+
+def test_versions_of_a_document_stand_side_by_side(spark):
+    rollup = token_rollup.Rollup(spark, Store(spark, "test").path("rollup"))
+    both = [("insert", 0, 1, "a", "en", "v1", 5), ("insert", 0, 1, "a", "en", "v2", 7), ("insert", 0, 2, "a", "en", "v1", 3)]
+    rollup.commit("b0", spark.createDataFrame(both, CHANGE))
+    assert ordered(map(tuple, rollup.totals().collect())) == [("a", "en", "v1", 2, 8), ("a", "en", "v2", 1, 7)]
+    rollup.commit("b1", spark.createDataFrame([("delete", 0, 1, None, None, None, None)], CHANGE))
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "v1", 1, 3)]
+    plan = rollup.ledger([3])._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
 
 
 def test_an_attempt_without_a_marker_does_not_count(spark):
