@@ -1,7 +1,7 @@
 """Self-join of documents by Jaccard similarity of word shingles, with adaptive multi-match prefixes.
 
 Shingles are ordered by how many sets hold them, rarest first, then by their hash. The frequencies come from a sketch
-of fixed size (two rows of counters over all documents, of which the binary logarithms are kept): it decides what a join
+of fixed size (counters over all documents, of which the binary logarithms are kept): it decides what a join
 costs, never what it finds, for any one order of all shingles is exact. A document of ``n`` shingles whose partners must share ``o`` of them can only
 have partners that share at least ``l`` shingles within its first ``n - o + l`` (and theirs): the prefix may be
 lengthened, and then more matches may be asked for. Every document's stored prefix is indexed; how much of it a document
@@ -36,7 +36,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codesieve.llm import bytetext
@@ -49,9 +49,13 @@ PERCENT = 80
 PIVOT_SHARE = 3
 #: Documents of a cluster that are compared with as many others in one task.
 CHUNK = 256
-#: Counters in each of the two rows of the frequency sketch, and in a piece of it that travels by itself.
-COUNTERS, PIECE = 1 << 21, 1 << 16
-SKETCH = "row long, doc_id long, text_key long, n int, set_a long, set_b long, tokens array<long>"
+#: Counters of the frequency sketch, and those in a piece of it that travels by itself.
+COUNTERS, PIECE = 1 << 23, 1 << 17
+#: What a task counts to, at most.
+MOST = 255
+#: Shingles of this class (a power of two of sets) and above are listed in two steps; lists of the others are short.
+HEAVY = 8
+SKETCH = "row long, doc_id long, text_key long, n int, set_a long, set_b long, light int, tokens array<long>"
 INDEX = "node long, n int, stored int, central int, token long, place int"
 PROBES = "node long, n int, label long, ask int, token long"
 
@@ -69,7 +73,7 @@ def prefix_length(n: int, percent: int) -> int:
 def stored_length(n: int, percent: int) -> int:
     """Shingles of the longest prefix, which is indexed."""
     need = prefix_length(n, percent)
-    return min(n, need + max(12, need // 2))
+    return min(n, need + max(8, need // 4))
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -96,32 +100,27 @@ def _set_keys(shingles: np.ndarray) -> tuple[int, int]:
     return tuple(sums.view(np.int64).tolist())
 
 
-def _slots(shingles: np.ndarray) -> list[np.ndarray]:
-    """The counters of each shingle, one in each row."""
-    bits = np.uint64(64 - int(math.log2(COUNTERS)))
-    return [(shingles * factor) >> bits for factor in (bytetext._P, bytetext._Q)]
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    """The counter of each shingle."""
+    return ((shingles * bytetext._P) >> np.uint64(64 - int(math.log2(COUNTERS)))).view(np.int64)
 
 
 def _counter(words: int) -> Callable:
-    """How many sets hold the shingles that share a counter, in pieces; a task's counts end at the largest that fits."""
+    """How many sets hold the shingles of each counter, up to :data:`MOST` in a task, in pieces."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, COUNTERS), np.uint32)
+        counts = np.zeros(COUNTERS, np.uint32)
         held, size = [], 0
-
-        def add() -> None:
-            for row, slots in zip(counts, _slots(np.concatenate(held))):
-                row += np.bincount(slots.view(np.int64), minlength=COUNTERS).astype(np.uint32)
-
         for batch in batches:
             for shingles in shingle_sets(batch.column("text"), words):
-                held, size = [*held, shingles] if size else [shingles], size + len(shingles)
-                if size >= COUNTERS:
-                    add()
+                held.append(shingles)
+                size += len(shingles)
+                if size >= COUNTERS // 4:
+                    counts += np.bincount(_slots(np.concatenate(held)), minlength=COUNTERS).astype(np.uint32)
                     held, size = [], 0
-        if held:
-            add()
-        pieces = np.minimum(counts, 65_535).astype(np.uint16).reshape(-1, PIECE)
+        if size:
+            counts += np.bincount(_slots(np.concatenate(held)), minlength=COUNTERS).astype(np.uint32)
+        pieces = np.minimum(counts, MOST).astype(np.uint8).reshape(-1, PIECE)
         some = np.flatnonzero(pieces.any(axis=1))
         task = pa.array(np.full(len(some), TaskContext.get().partitionId()))
         data = pa.array([pieces[k].tobytes() for k in some.tolist()], pa.binary())
@@ -130,46 +129,53 @@ def _counter(words: int) -> Callable:
     return count
 
 
-def _summed(kind: np.dtype) -> Callable:
+def _summed(kind: type, last: bool) -> Callable:
+    """The sums of a piece's counts, in the end their binary logarithms."""
+
     def total(table: pa.Table) -> pa.Table:
         counts = np.zeros(PIECE, np.uint32)
         for data in table.column("counts").to_pylist():
             counts += np.frombuffer(data, kind)
-        return pa.table({"piece": table.column("piece")[:1], "task": table.column("task")[:1], "counts": [counts.tobytes()]})
+        data = np.frexp(counts.astype(np.float64))[1].astype(np.uint8) if last else counts
+        return pa.table({"piece": table.column("piece")[:1], "task": table.column("task")[:1], "counts": [data.tobytes()]})
 
     return total
 
 
 def frequency_classes(docs: DataFrame, words: int) -> np.ndarray:
-    """The binary logarithms of two rows of counters over all rows of ``docs``: a sketch of fixed size.
+    """The binary logarithms of the counters over all rows of ``docs``: a sketch of fixed size.
 
     Tasks count for themselves; their counters are summed in two steps, so that no task gets those of all others.
     """
     schema = "piece long, task long, counts binary"
     pieces = docs.select("text").mapInArrow(_counter(words), schema)
-    some = pieces.groupBy("piece", F.floor(F.col("task") / 64).alias("part")).applyInArrow(_summed(np.dtype(np.uint16)), schema)
-    whole = some.groupBy("piece").applyInArrow(_summed(np.dtype(np.uint32)), schema).toArrow()
-    counts = np.zeros((2 * COUNTERS // PIECE, PIECE), np.uint32)
+    some = pieces.groupBy("piece", F.floor(F.col("task") / 64).alias("part")).applyInArrow(_summed(np.uint8, False), schema)
+    whole = some.groupBy("piece").applyInArrow(_summed(np.uint32, True), schema).toArrow()
+    classes = np.zeros((COUNTERS // PIECE, PIECE), np.uint8)
     for piece, data in zip(whole.column("piece").to_pylist(), whole.column("counts").to_pylist()):
-        counts[piece] = np.frombuffer(data, np.uint32)
-    return np.frexp(counts.astype(np.float64))[1].astype(np.uint8).reshape(2, COUNTERS)
+        classes[piece] = np.frombuffer(data, np.uint8)
+    return classes.ravel()
 
 
-def _rarest_first(shingles: np.ndarray, classes: np.ndarray, length: int) -> np.ndarray:
-    """The first shingles of a set (sorted by hash) in the order of all sets: by frequency class, then by hash."""
-    known = np.minimum(*(row[slots] for row, slots in zip(classes, _slots(shingles))))
-    return shingles[np.argsort(known, kind="stable")[:length]]
+def _rarest_first(shingles: np.ndarray, classes: np.ndarray, length: int) -> tuple[np.ndarray, int]:
+    """The first shingles of a set (sorted by hash) in the order of all sets: by frequency class, then by hash; how many of
+    them are below :data:`HEAVY`."""
+    known = classes[_slots(shingles)]
+    order = np.argsort(known, kind="stable")[:length]
+    return shingles[order], int((known[order] < HEAVY).sum())
 
 
 def _sketcher(words: int, percent: int, classes: np.ndarray) -> Callable:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, heads = [], [], []
+            sizes, keys, heads, light = [], [], [], []
             for shingles in shingle_sets(batch.column("text"), words):
                 n = len(shingles)
                 sizes.append(n)
                 keys.append(_set_keys(shingles))
-                heads.append(_rarest_first(shingles, classes, stored_length(n, percent)))
+                head, few = _rarest_first(shingles, classes, stored_length(n, percent))
+                heads.append(head)
+                light.append(few)
             offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
             tokens = bytetext.to_long(np.concatenate(heads)) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -180,9 +186,10 @@ def _sketcher(words: int, percent: int, classes: np.ndarray) -> Callable:
                     pa.array(sizes, pa.int32()),
                     pa.array([k[0] for k in keys], pa.int64()),
                     pa.array([k[1] for k in keys], pa.int64()),
+                    pa.array(light, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens)),
                 ],
-                ["row", "doc_id", "text_key", "n", "set_a", "set_b", "tokens"],
+                ["row", "doc_id", "text_key", "n", "set_a", "set_b", "light", "tokens"],
             )
 
     return sketch
@@ -319,12 +326,16 @@ class Join:
         text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key)
         numbered = self.docs.withColumn("row", F.monotonically_increasing_id())
+        self.store.tidy()
         sketcher = _sketcher(words, percent, frequency_classes(self.docs, words))
         self.sketch = self.store.keep(numbered.mapInArrow(sketcher, SKETCH), "sketch")
         same = ["n", "set_a", "set_b"]
         sets = self.sketch.where("n > 0")
         self.classes = sets.groupBy(*same).agg(F.min("row").alias("node"))
-        self.index = self.store.keep(self._index(sets.groupBy(*same).agg(F.min("row").alias("node"), F.first("tokens").alias("tokens"))), "index")
+        heads = sets.groupBy(*same).agg(F.min("row").alias("node"), F.first(F.struct("light", "tokens")).alias("head"))
+        self.store.tidy()
+        self.index = self.store.keep(self._index(heads.select("node", "n", "head.light", "head.tokens")), "index")
+        self.store.tidy()
 
     def _similar_size(self, a: str, b: str) -> Column:
         return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
@@ -332,10 +343,18 @@ class Join:
     def _index(self, nodes: DataFrame) -> DataFrame:
         """The stored shingles of every representative that some other one has stored too."""
         # The most similar set that is another one has a single shingle more.
-        able = nodes.where(100 * F.col("n") >= self.percent * (F.col("n") + 1)).select("node", "n", "tokens")
-        rows = able.select("node", "n", F.posexplode("tokens").alias("place", "token"))
+        able = nodes.where(100 * F.col("n") >= self.percent * (F.col("n") + 1))
+        # Below MOST the sketch never counts too few: a list of light shingles has less than 2 ** (HEAVY - 1) members, and is
+        # counted where it is gathered. Heavy ones may stand in any number of sets; they are counted first and then joined.
+        split = F.least("light", F.size("tokens"))
+        rows = able.select("node", "n", F.posexplode(F.slice("tokens", F.lit(1), split)).alias("place", "token"))
+        light = rows.withColumn("length", F.count("*").over(Window.partitionBy("token"))).where("length > 1")
+        rest = F.slice("tokens", split + 1, F.size("tokens"))
+        rows = able.where(F.size("tokens") > split).select("node", "n", "light", F.posexplode(rest).alias("after", "token"))
+        rows = rows.select("node", "n", (F.col("light") + F.col("after")).alias("place"), "token")
         lists = rows.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
-        hits = rows.join(lists, "token").groupBy("node", "n")
+        columns = ["node", "n", "place", "token", "length"]
+        hits = light.select(columns).unionByName(rows.join(lists, "token").select(columns)).groupBy("node", "n")
         listed = hits.agg(F.collect_list(F.struct("place", "length", "token")).alias("hits"))
         return listed.mapInArrow(_centrality(self.percent), INDEX)
 
@@ -458,6 +477,7 @@ class Join:
         stars = self._verified(pairs, sets, "stars")
         inner = self._cluster_links(clusters, components(stars, self.store, "star-components"), sets)
         self.store.drop("clusters-sets")
+        self.store.tidy()
         far = self.store.keep(self._pairs_across(clusters), "far-pairs")
         for table in ("mixed", "probes"):
             self.store.drop(table)
@@ -469,7 +489,7 @@ class Join:
         """``row, doc_id, text_key, n, node, label`` for every row; node and label are null where there are no shingles."""
         labels = self.store.keep(components(self.links(), self.store, "components"), "labels")
         classes = self.classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        rows = self.sketch.drop("tokens")
+        rows = self.sketch.drop("tokens", "light")
         return rows.join(classes, ["n", "set_a", "set_b"], "left").select("row", "doc_id", "text_key", "n", "node", "label")
 
     def groups(self) -> DataFrame:

@@ -32,6 +32,14 @@ class Store:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def tidy(self) -> None:
+        """Let Spark delete the shuffle files of jobs that are done.
+
+        It does so once the driver's garbage collector has found that nothing refers to them, which may take long
+        where the driver has memory in plenty and the executors' disks have not.
+        """
+        self.spark._jvm.System.gc()
+
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` worked out once, however often ``body`` names it."""
