@@ -138,3 +138,15 @@ AST_PATH = (
 
 #: What a body says that does not parse; the findings of the others are those of the tables above, behind those on the text.
 AST_UNPARSABLE = ((11, 0, 'syntax_error', 'LOW', 'No se pudo analizar el AST'),)
+
+#: Operators and operands of a body, all of them and the distinct ones, for its Halstead volume. Tests count them with a walk.
+AST_HALSTEAD = (
+    (0, 3, 3),
+    (1, 9, 8),
+    (2, 0, 0),
+    (12, 3, 3),
+    (13, 6, 5),
+    (14, 10, 9),
+    (15, 3, 3),
+    (16, 3, 3),
+)

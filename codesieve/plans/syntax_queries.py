@@ -1,7 +1,7 @@
 """Syntax facts, taint and feature tables of the Python files.
 
 SQL cannot parse Python, but it can name what each fixed body holds: the twins join the expected rows on the slot. Tests
-compare the facts of other texts with a walk of the tree. The maintainability index and the wide tables have no twin.
+compare the facts of other texts with a walk of the tree.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from codesieve.plans import syntax_expected as expected
 from codesieve.plans import views
 from codesieve.plans.registry import query
 from codesieve.plans.sql import SLOTS, hits, q, with_views
+from codesieve.plans.text_queries import LINE_METRICS_SQL, TOKEN_STATS_SQL
 
 
 def _value(value) -> str:
@@ -89,7 +90,33 @@ def ast_cyclomatic(spark, sf_dir):
     return known(spark, sf_dir).select("file_id", value.alias("cyclomatic_complexity"))
 
 
-@query("ast_maintainability")
+def _structure_sql() -> str:
+    """All that hangs on the slot of a parsable body, and the maintainability index, for which the tail's comments are counted."""
+    facts_of = {row[0]: row for row in expected.AST_FACTS if row[1]}
+    counts_of, depth_of, complexity_of = (dict((r[0], r[1:]) for r in t) for t in (expected.AST_COUNTS, expected.AST_DEPTH, expected.AST_CYCLOMATIC))
+    rows = [
+        (slot, *counts_of[slot], *depth_of[slot], *complexity_of[slot], length, vocabulary, facts_of[slot][6], facts_of[slot][7])
+        for slot, length, vocabulary in expected.AST_HALSTEAD
+    ]
+    names = (
+        "functions classes imports ast_nodes control_structures ast_depth cyclomatic_complexity n_signs n_distinct statements source_lines"
+    ).split()
+    comments = ", len(string_split(text, chr(10))) + (slot = 0)::INTEGER AS comment_tokens"
+    inner = slot_sql(rows, comments, **{name: "INTEGER" for name in names})
+    index = (
+        "100 * (171 - 5.2::DOUBLE * ln(n_signs * log2(n_distinct)) - 0.23::DOUBLE * (cyclomatic_complexity + 1) - 16.2::DOUBLE * ln(statements) "
+        "+ 50 * sin(sqrt(2.46::DOUBLE * radians(100 * comment_tokens::DOUBLE / source_lines)))) / 171"
+    )
+    return (
+        f"SELECT *, round(CASE WHEN n_distinct > 1 AND statements > 0 THEN least(greatest({index}, 0), 100) ELSE 100 END, 6)::DOUBLE "
+        f"AS maintainability_index FROM ({inner})"
+    )
+
+
+@query(
+    "ast_maintainability",
+    "SELECT file_id, maintainability_index AS maintainability, maintainability_index AS with_docstrings FROM (" + _structure_sql() + ")",
+)
 def ast_maintainability(spark, sf_dir):
     return known(spark, sf_dir).where("parse_ok").select(
         "file_id",
@@ -168,25 +195,65 @@ def ast_run_all(spark, sf_dir):
     return heuristics.findings_rows(judged, F.col("heuristics"))
 
 
-@query("feat_9")
+def _features_sql(keep: str, names: tuple[str, ...], *more: str) -> str:
+    tables = " ".join(f"JOIN ({table}) USING (file_id)" for table in (LINE_METRICS_SQL, *more))
+    return with_views(
+        f"SELECT {keep}, {', '.join(names)} FROM (SELECT file_id, path, target AS label, safety, code FROM code_files) "
+        f"JOIN ({_structure_sql()}) USING (file_id) {tables}",
+        "code_files",
+    )
+
+
+def _rounded(table):
+    return table.withColumn("maintainability_index", F.round("maintainability_index", 6))
+
+
+@query("feat_9", _features_sql("file_id, label AS target", features.FEATURES_9))
 def feat_9(spark, sf_dir):
     files = python_files(spark, sf_dir).withColumn("target", labels.binary(F.col("safety")))
-    return features.structural(files, ("file_id", "target"), features.FEATURES_9)
+    return _rounded(features.structural(files, ("file_id", "target"), features.FEATURES_9))
 
 
-@query("feat_10")
+@query("feat_10", _features_sql("file_id, path AS file_path, split_part(path, '/', 2) AS repo", features.FEATURES_10))
 def feat_10(spark, sf_dir):
     files = python_files(spark, sf_dir).select(
         "file_id", F.col("path").alias("file_path"), F.split_part("path", F.lit("/"), F.lit(2)).alias("repo"), "code"
     )
-    return features.structural(files, ("file_id", "file_path", "repo"))
+    return _rounded(features.structural(files, ("file_id", "file_path", "repo")))
+
+
+def _found_sql() -> str:
+    """Findings of each file by severity and kind, zeros where it has none."""
+    counted = ", ".join(
+        [f"count(seq) FILTER (severity = {q(s)})::INTEGER AS vuln_{s.lower()}_count" for s in aggregates.SEVERITIES]
+        + [f"count(seq) FILTER (name = {q(k)})::INTEGER AS vuln_{k}" for k in aggregates.FINDING_KINDS]
+    )
+    return (
+        f"SELECT file_id, {counted}, count(seq)::INTEGER AS total_vulnerabilities, (count(seq) > 0)::INTEGER AS has_vulnerabilities "
+        f"FROM code_files LEFT JOIN ({_run_all_sql()}) USING (file_id) GROUP BY file_id"
+    )
 
 
-@query("feat_49")
+_FLAGS_SQL = "SELECT file_id, {} FROM code_files".format(
+    ", ".join(f"CAST({hits('code', p)} AS INTEGER) AS {n}" for n, p in {**rules.DANGER_FLAGS, **rules.SANITISE_FLAGS}.items())
+)
+
+
+@query(
+    "feat_49",
+    _features_sql(
+        "file_id, label, safety AS original_safety",
+        features.FEATURES_49,
+        TOKEN_STATS_SQL,
+        slot_sql(expected.AST_TAINT_FLAGS, tainted_vars_count="INTEGER", has_tainted_vars="INTEGER"),
+        _found_sql(),
+        _FLAGS_SQL,
+    ),
+)
 def feat_49(spark, sf_dir):
     files = python_files(spark, sf_dir).select("file_id", F.col("safety").alias("original_safety"), "code")
     labelled = files.withColumn("label", labels.normalise(F.col("original_safety"))).where("label IS NOT NULL")
-    return features.full(labelled, ("file_id", "label", "original_safety"))
+    return _rounded(features.full(labelled, ("file_id", "label", "original_safety")))
 
 
 @query(

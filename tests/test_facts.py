@@ -5,6 +5,8 @@ import ast
 import pytest
 
 from codesieve.operators import facts, features, heuristics
+from codesieve.plans import syntax_expected as expected
+from codesieve.plans.views import TEMPLATES
 
 TEXTS = {
     "flow": "import os\nimport sys\nclass A(B):\n  def f(self, x):\n    for i in x:\n      if i and x or self:\n        return 1\n    else:\n      pass\n  def g(self):\n    try:\n      a = [y for y in x if y]\n    except ValueError:\n      pass\n    except KeyError:\n      pass\n",
@@ -165,3 +167,42 @@ def test_operators_and_operands_by_hand(code, operators, operands):
     found = [f for f in found if f]
     assert sorted(type(o).__name__ for f in found for o in f[0]) == sorted(operators)
     assert len({facts._operand(o) for f in found for o in f[1]}) == operands
+
+
+class Halstead(ast.NodeVisitor):
+    """Operators, and operands by the function they stand in, counted kind by kind."""
+
+    def __init__(self):
+        self.scope, self.signs, self.operands = "", [], []
+
+    def visit_FunctionDef(self, node):
+        outer, self.scope = self.scope, node.name
+        self.generic_visit(node)
+        self.scope = outer
+
+    def note(self, signs, operands):
+        self.signs += [type(s).__name__ for s in signs]
+        for o in operands:
+            spelled = o.id if isinstance(o, ast.Name) else o.attr if isinstance(o, ast.Attribute) else o.value if isinstance(o, ast.Constant) else o
+            self.operands.append((self.scope, type(spelled), spelled))
+
+    def generic_visit(self, node):
+        if isinstance(node, ast.BinOp):
+            self.note([node.op], [node.left, node.right])
+        elif isinstance(node, ast.UnaryOp):
+            self.note([node.op], [node.operand])
+        elif isinstance(node, ast.BoolOp):
+            self.note([node.op], node.values)
+        elif isinstance(node, ast.AugAssign):
+            self.note([node.op], [node.target, node.value])
+        elif isinstance(node, ast.Compare):
+            self.note(node.ops, [node.left, *node.comparators])
+        super().generic_visit(node)
+
+
+@pytest.mark.parametrize("slot, length, vocabulary", expected.AST_HALSTEAD)
+def test_halstead_counts_of_the_fixed_bodies(slot, length, vocabulary):
+    walk = Halstead()
+    walk.visit(ast.parse(TEMPLATES[slot][3].replace("¶", "\n").replace("{id}", "7")))
+    assert len(walk.signs) + len(walk.operands) == length
+    assert len(set(walk.signs)) + len(set(walk.operands)) == vocabulary
