@@ -35,7 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,7 +165,7 @@ def _rarest_first(shingles: np.ndarray, classes: np.ndarray, length: int) -> tup
     return shingles[order], int((known[order] < HEAVY).sum())
 
 
-def _sketcher(words: int, percent: int, classes: np.ndarray) -> Callable:
+def _sketcher(words: int, percent: int, classes: Broadcast) -> Callable:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, heads, light = [], [], [], []
@@ -173,7 +173,7 @@ def _sketcher(words: int, percent: int, classes: np.ndarray) -> Callable:
                 n = len(shingles)
                 sizes.append(n)
                 keys.append(_set_keys(shingles))
-                head, few = _rarest_first(shingles, classes, stored_length(n, percent))
+                head, few = _rarest_first(shingles, classes.value, stored_length(n, percent))
                 heads.append(head)
                 light.append(few)
             offsets = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
@@ -327,8 +327,10 @@ class Join:
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key)
         numbered = self.docs.withColumn("row", F.monotonically_increasing_id())
         self.store.tidy()
-        sketcher = _sketcher(words, percent, frequency_classes(self.docs, words))
-        self.sketch = self.store.keep(numbered.mapInArrow(sketcher, SKETCH), "sketch")
+        classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(self.docs, words))
+        self.sketch = self.store.keep(numbered.mapInArrow(_sketcher(words, percent, classes), SKETCH), "sketch")
+        # The table is written: no task asks for the classes again.
+        classes.destroy()
         same = ["n", "set_a", "set_b"]
         sets = self.sketch.where("n > 0")
         self.classes = sets.groupBy(*same).agg(F.min("row").alias("node"))
@@ -414,41 +416,29 @@ class Join:
     def _pairs_across(self, clusters: DataFrame) -> DataFrame:
         """Pairs of different clusters that share as many looked-up shingles as the one that looks them up asks for."""
         index = self.index.join(clusters, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        index = self.store.keep(index.select("node", "n", self._band("n").alias("band"), "label", "token", "place"), "labelled")
+        index = self.store.keep(index.select("node", "n", "label", "token", "place"), "labelled")
         self.store.drop("index")
         lists = index.groupBy("token", "label").agg(F.count("*").alias("own"))
         mixed = lists.groupBy("token").agg(F.count("*").alias("labels")).where("labels > 1").select("token")
         index = self.store.keep(index.join(mixed, "token"), "mixed")
-        # What a document would find in a list is what other clusters have there, in its own band of sizes and the next.
-        bands = index.groupBy("token", "band").agg(F.count("*").alias("rows"))
-        near = bands.select("token", F.explode(self._near("band")).alias("band"), "rows")
-        near = near.groupBy("token", "band").agg(F.sum("rows").alias("near"))
-        length = (F.greatest(F.lit(0), F.col("near") - F.col("own")) + 1).cast("long").alias("length")
-        hits = index.join(near, ["token", "band"]).join(lists, ["token", "label"])
+        # What a document would find in a list is what other clusters have there.
+        sizes = lists.join(mixed, "token").groupBy("token").agg(F.sum("own").alias("rows"))
+        length = (F.col("rows") - F.col("own") + 1).cast("long").alias("length")
+        hits = index.join(sizes, "token").join(lists, ["token", "label"])
         hits = hits.select("node", "n", "label", "place", length, "token").groupBy("node", "n", "label")
         hits = hits.agg(F.collect_list(F.struct("place", "length", "token")).alias("hits"))
         probes = self.store.keep(hits.mapInArrow(_adapter(self.percent), PROBES), "probes")
         self.store.drop("labelled")
         names = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label")]
-        probes = probes.select("token", "ask", *names("a"), F.explode(self._near(self._band("n"))).alias("band"))
-        listed = index.select("token", "band", *names("b"))
-        labels = [df.select("token", "band", c).distinct() for df, c in ((probes, "label_a"), (listed, "label_b"))]
-        across = labels[0].join(labels[1], ["token", "band"]).where("label_a <> label_b")
-        met = probes.join(across, ["token", "band", "label_a"]).join(listed, ["token", "band", "label_b"])
+        probes = probes.select("token", "ask", *names("a"))
+        listed = index.select("token", *names("b"))
+        labels = [df.select("token", c).distinct() for df, c in ((probes, "label_a"), (listed, "label_b"))]
+        across = labels[0].join(labels[1], "token").where("label_a <> label_b")
+        met = probes.join(across, ["token", "label_a"]).join(listed, ["token", "label_b"])
         met = met.where(self._similar_size("n_a", "n_b"))
         shared = met.groupBy("node_a", "node_b", "ask").agg(F.count("*").alias("shared")).where("shared >= ask")
         return shared.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
-    def _band(self, n: str) -> Column:
-        """Sizes of similar documents lie in one band or in two that touch."""
-        width = 1.001 * max(math.log(100 / self.percent), 1e-6)
-        return F.floor(F.log(F.col(n).cast("double")) / F.lit(width)).cast("long")
-
-    @staticmethod
-    def _near(band: str | Column) -> Column:
-        band = F.col(band) if isinstance(band, str) else band
-        return F.array(band - 1, band, band + 1)
-
     def _sets(self, rows: DataFrame, name: str, size_known: bool) -> DataFrame:
         """``node, shingles`` of the representatives in ``rows`` (``row``), from their texts.
 
