@@ -8,8 +8,11 @@ it in most slots, and each name of the document to one name of the item only. A
 mapping or hold the item's own value; windows that do not are dropped by themselves. A document is contaminated by an item
 when the windows that count cover at least ``coverage`` of the item's windows.
 
-Windows with fewer than ``literals`` literals are no evidence and left out of both sides. An item shorter than a window
-is one window of its own length, if it has that many literals; otherwise it cannot be searched for.
+Template windows with fewer than ``literals`` literals are no evidence and left out of both sides. Beside the templates,
+windows of the words as they are (letters folded) are joined in the same way, whatever kinds of words they hold: an item of
+names, capitals or numbers only, which no template represents, is found where it stands word for word. An item shorter than
+a window is one window of its own length; one of fewer than ``literals`` words is compared with whole documents only, for so
+few words stand in many texts by chance.
 
 Documents are read once. A bit map of fixed size over the benchmark's hashes goes to all executors; only windows whose
 bit is set leave the task, and the join decides. A large benchmark makes the map less selective, not the result wrong.
@@ -44,24 +47,30 @@ UNITS = (
     "percent cent cents dollar dollars euro euros pound pounds second seconds minute minutes hour hours day days week weeks "
     "month months year years mm cm m km meter meters metre metres kilometer kilometers inch inches foot feet yard yards mile "
     "miles mg g kg gram grams kilogram kilograms ton tons ounce ounces lb lbs ml l liter liters litre litres gallon gallons "
-    "cup cups degree degrees celsius fahrenheit watt watts volt volts byte bytes kb mb gb mph"
+    "cup cups degree degrees celsius fahrenheit watt watts volt volts byte bytes kb mb gb mph "
+    "prozent sekunde sekunden minuten stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren "
+    "kilometern metern zentimeter gramm kilogramm kilo tonne tonnen grad "
+    "seconde secondes heure heures jour jours semaine semaines mois an ans année années mètre mètres kilomètre kilomètres "
+    "gramme grammes kilogramme kilogrammes litre litres degré degrés "
+    "ciento segundo segundos minuto minutos hora horas día días semana semanas mes meses año años metro metros kilómetro "
+    "kilómetros gramo gramos kilogramo kilogramos litro litros grado grados dólar dólares libra libras € £ °c °f"
 ).split()
 
 _UNIT_HASHES = np.sort(
     np.concatenate(
         [
-            bytetext.word_hashes(np.frombuffer(u.encode(), np.uint8), np.array([0]), np.array([len(u)]))
+            bytetext.word_hashes(np.frombuffer(u.encode(), np.uint8), np.array([0]), np.array([len(u.encode())]))
             for u in UNITS
         ]
     )
 )
 _MARK_HASHES = bytetext.mix(np.arange(1, 5, dtype=np.uint64))
 
-WINDOWS = "id long, text_key long, place int, span int, hash long, template string, slots array<string>, kinds array<int>, offsets array<int>"
-WINDOW_NAMES = ["id", "text_key", "place", "span", "hash", "template", "slots", "kinds", "offsets"]
+WINDOWS = "id long, text_key long, plain boolean, place int, span int, hash long, template string, slots array<string>, kinds array<int>, offsets array<int>"
+WINDOW_NAMES = ["id", "text_key", "plain", "place", "span", "hash", "template", "slots", "kinds", "offsets"]
 WINDOW_KINDS = [
-    pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()),
-    pa.list_(pa.int32()),
+    pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string()),
+    pa.list_(pa.int32()), pa.list_(pa.int32()),
 ]
 
 
@@ -105,22 +114,26 @@ class Tokens:
         name = (upper | accented)[self.begin] & ~opens if len(self.begin) else number
         self.kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, LITERAL)))
         self.canonical = np.where(self.kind == LITERAL, hashes, _MARK_HASHES[self.kind])
+        self.hashes = hashes
         self.literals = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
 
     def word(self, k: int) -> str:
         return self.data[self.begin[k] : self.stop[k]].tobytes().decode("utf-8", "replace")
 
-    def window(self, k: int, span: int) -> tuple[str, list[str], list[int], list[int]]:
-        """Template, slot values, their kinds and their places in the window at token ``k``."""
+    def window(self, k: int, span: int, plain: bool) -> tuple[str, list[str], list[int], list[int]]:
+        """Template, slot values, their kinds and their places in the window at token ``k``; a plain one has no slots."""
         kinds = self.kind[k : k + span].tolist()
         words = [self.word(j) for j in range(k, k + span)]
+        if plain:
+            return " ".join(words), [], [], []
         template = " ".join(w if kind == LITERAL else MARKS[kind] for w, kind in zip(words, kinds))
         filled = [j for j, kind in enumerate(kinds) if kind != LITERAL]
         return template, [words[j] for j in filled], [kinds[j] for j in filled], filled
 
 
-def _window_rows(spans, literals: int, bits: np.ndarray | None) -> Callable:
-    """Rows of windows: of all (no map; each text has the one span that suits it) or of those whose bit is set."""
+def _window_rows(spans: dict[bool, list[int]], literals: int, bits: np.ndarray | None) -> Callable:
+    """Rows of windows, of templates and plain (the keys of ``spans``): of all (no map; each text has the one span of a kind
+    that suits it) or of those whose bit is set."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,21 +141,27 @@ def _window_rows(spans, literals: int, bits: np.ndarray | None) -> Callable:
             for part in bytetext.slices(batch.column("text")):
                 tokens = Tokens(part)
                 rows = []
-                for span in sorted(spans):
-                    hashes = bytetext.window_hashes(tokens.canonical, span)
-                    enough = tokens.literals[span:] - tokens.literals[:-span] >= literals if len(hashes) else np.zeros(0, bool)
+                for plain, span in sorted((kind, span) for kind, some in spans.items() for span in some):
+                    hashes = bytetext.window_hashes(tokens.hashes if plain else tokens.canonical, span)
+                    enough = np.ones(len(hashes), bool)
+                    if plain:
+                        hashes = bytetext.mix(hashes)
+                    elif len(hashes):
+                        enough = tokens.literals[span:] - tokens.literals[:-span] >= literals
                     if bits is not None:
                         place = (hashes % np.uint64(len(bits) * 8)).astype(np.int64)
                         enough = enough & ((bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1).astype(bool)
                     for k in np.flatnonzero(enough).tolist():
                         doc = int(np.searchsorted(tokens.high, k, "right"))
                         length = tokens.high[doc] - tokens.low[doc]
-                        if k + span > tokens.high[doc] or (bits is None and span != min(max(spans), length)):
+                        if k + span > tokens.high[doc] or (bits is None and span != min(max(spans[plain]), length)):
+                            continue
+                        if plain and span < literals and span != length:
                             continue
                         row = part.first + doc
-                        window = tokens.window(k, span)
+                        window = tokens.window(k, span, plain)
                         signed = int(hashes[k : k + 1].view(np.int64)[0])
-                        rows.append((ids[row], keys[row], k - int(tokens.low[doc]), span, signed, *window))
+                        rows.append((ids[row], keys[row], plain, k - int(tokens.low[doc]), span, signed, *window))
                 if rows:
                     columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), WINDOW_KINDS)]
                     yield pa.RecordBatch.from_arrays(columns, WINDOW_NAMES)
@@ -224,10 +243,13 @@ def matches(
     """
     store = Store(docs.sparkSession, "decontaminate")
     texts = _texts(benchmark, "item_id").distinct()
-    items = store.keep(texts.mapInArrow(_window_rows(range(literals, span + 1), literals, None), WINDOWS), "items")
-    spans = [row[0] for row in items.select("span").distinct().collect()]
-    sizes = items.groupBy("id", "text_key").agg(F.count("*").alias("n_windows"))
-    items = items.join(sizes, ["id", "text_key"])
+    wanted = {False: list(range(literals, span + 1)), True: list(range(1, span + 1))}
+    items = store.keep(texts.mapInArrow(_window_rows(wanted, literals, None), WINDOWS), "items")
+    spans: dict[bool, list[int]] = {}
+    for kind, length in items.select("plain", "span").distinct().collect():
+        spans.setdefault(kind, []).append(length)
+    sizes = items.groupBy("id", "text_key", "plain").agg(F.count("*").alias("n_windows"))
+    items = items.join(sizes, ["id", "text_key", "plain"])
     bits = docs.sparkSession.sparkContext.broadcast(_bit_map(items, map_bits))
 
     def windows(batches):
@@ -235,7 +257,7 @@ def matches(
 
     found = _texts(docs, "doc_id").mapInArrow(windows, WINDOWS).distinct()
     right = [F.col(c).alias(f"item_{c}") for c in ("id", "text_key", "place", "slots")]
-    met = found.join(items.select("hash", "span", "template", "n_windows", *right), ["hash", "span", "template"])
+    met = found.join(items.select("plain", "hash", "span", "template", "n_windows", *right), ["plain", "hash", "span", "template"])
     slots = F.arrays_zip("kinds", F.col("item_slots").alias("theirs"), F.col("slots").alias("ours"), "offsets")
     placed = F.transform(
         slots,
@@ -244,13 +266,14 @@ def matches(
             F.struct(s["kinds"].alias("kinds"), s["theirs"].alias("theirs"), s["ours"].alias("ours")).alias("pair"),
         ),
     )
+    pair = ["id", "text_key", "item_id", "item_text_key"]
     aligned = (
-        met.groupBy("id", "text_key", "item_id", "item_text_key", "n_windows", (F.col("place") - F.col("item_place")).alias("shift"))
+        met.groupBy(*pair, "plain", "n_windows", (F.col("place") - F.col("item_place")).alias("shift"))
         .agg(F.collect_list(F.struct("item_place", placed.alias("slots"))).alias("windows"))
     )
     per_item = (
-        aligned.select("id", "text_key", "item_id", "item_text_key", "n_windows", _counting(F.col("windows")).alias("windows"))
-        .groupBy("id", "text_key", "item_id", "item_text_key", "n_windows")
+        aligned.select(*pair, "plain", "n_windows", _counting(F.col("windows")).alias("windows"))
+        .groupBy(*pair, "plain", "n_windows")
         .agg(F.flatten(F.collect_list("windows")).alias("windows"))
         .select(
             "*",
@@ -259,15 +282,20 @@ def matches(
         )
     )
     changed = F.size(F.filter("pairs", lambda p: p["theirs"] != p["ours"])).cast("long")
-    return per_item.where(F.col("n_matched") >= coverage * F.col("n_windows")).select(
+    enough = per_item.where(F.col("n_matched") >= coverage * F.col("n_windows")).select(
+        *pair, F.struct("plain", "n_windows", "n_matched", F.size("pairs").cast("long").alias("n_slots"), changed.alias("n_changed")).alias("f")
+    )
+    # What the templates say holds; the plain windows speak where these do not.
+    told = enough.groupBy(*pair).agg(F.min("f").alias("f"))
+    return told.select(
         F.col("id").alias("doc_id"),
         "text_key",
         "item_id",
-        "n_windows",
-        "n_matched",
-        F.size("pairs").cast("long").alias("n_slots"),
-        changed.alias("n_changed"),
-        F.when(changed > 0, "reparameterised").otherwise("copy").alias("kind"),
+        "f.n_windows",
+        "f.n_matched",
+        "f.n_slots",
+        "f.n_changed",
+        F.when(F.col("f.n_changed") > 0, "reparameterised").otherwise("copy").alias("kind"),
     )
 
 

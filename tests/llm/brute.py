@@ -122,12 +122,20 @@ def contaminated(docs, items, span=10, literals=5, coverage=0.5):
     """Pairs of doc_id and item_id."""
     found = set()
     cut = lambda t, k, n: tuple(x[0] for x in t[k : k + n])
-    plain = lambda t, k, n: sum(x[2] is None for x in t[k : k + n]) >= literals
+    enough = lambda t, k, n: sum(x[2] is None for x in t[k : k + n]) >= literals
     texts = [(doc_id, template(text)) for doc_id, text in docs]
     for item_id, text in items:
         item = template(text)
+        plain = [x[1] for x in item]
+        n = min(span, len(plain))
+        parts = [plain[k : k + n] for k in range(len(plain) - n + 1)] if plain else []
+        for doc_id, doc in texts:
+            words_ = [x[1] for x in doc]
+            held = [words_[k : k + n] for k in range(len(words_) - n + 1)] if n >= literals or len(words_) == n else []
+            if parts and sum(part in held for part in parts) >= coverage * len(parts):
+                found.add((doc_id, item_id))
         n = min(span, len(item))
-        places = [k for k in range(len(item) - n + 1) if n >= literals and plain(item, k, n)]
+        places = [k for k in range(len(item) - n + 1) if n >= literals and enough(item, k, n)]
         for doc_id, doc in texts:
             aligned = defaultdict(list)
             where = defaultdict(list)

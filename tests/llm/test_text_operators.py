@@ -1,6 +1,7 @@
 """Quality rules, suffix dedup, Jaccard join and decontamination against plain versions."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -234,3 +235,33 @@ def test_words_of_slices_end_with_their_documents():
         begin, stop = bytetext.word_bounds(part, ~bytetext.IS_SPACE[part.data])
         found += [part.data[a:b].tobytes() for a, b in zip(begin, stop)]
     assert found == [b"ab", b"cd", b"e", b"f"]
+
+
+PROBES = [
+    "Did Anna, Ben, Carl, Dora, Emil, Fritz, Gina and Hans meet Ida in Rome?",
+    "WHICH OF THE RIVERS OF EUROPE IS THE LONGEST ONE?",
+    "What is 12 plus 30?",
+    "Wie viele Kilometer fährt der Zug von Berlin nach Hamburg, wenn er zwei Stunden unterwegs ist?",
+]
+
+
+def test_decontamination_finds_items_that_no_template_represents(spark):
+    items = list(enumerate([*PROBES, "Why so?", "Who?"]))
+    docs = [(k, f"Before it stands this. {text} And after it that.") for k, text in items]
+    docs += [(100 + k, text.upper()) for k, text in items] + [(200, "Why so many of them? Who knows."), (201, "What is 12 plus 31?")]
+    docs += [(300, PROBES[3].replace("Berlin", "Bremen").replace("Hamburg", "Kassel"))]
+    frames = [spark.createDataFrame(r, s) for r, s in ((docs, "doc_id long, text string"), (items, "item_id long, text string"))]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(*frames).collect()}
+    whole = {(100 + k, k) for k, _ in items}
+    within = {(k, k) for k in range(len(PROBES))}
+    assert got >= whole | within
+    assert got <= whole | within | {(300, 3)}
+    assert got == brute.contaminated(docs, items) | (got & {(300, 3)})
+    clean = {r.doc_id for r in decontaminate.keep_clean(*frames).collect()}
+    assert {4, 5, 200, 201} <= clean
+
+
+def test_units_of_four_languages():
+    words = "12 Stunden 3 días 7 mètres 9 miles 4 € 5 Häuser".split()
+    tokens = decontaminate.Tokens(next(bytetext.slices(pa.array([" ".join(words)]))))
+    assert [tokens.kind[k] == decontaminate.UNIT for k in range(1, 12, 2)] == [True] * 5 + [False]
