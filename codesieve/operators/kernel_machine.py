@@ -149,7 +149,7 @@ def solve(rows: DataFrame, lift: Map, width: int, c: float, folds: int) -> np.nd
             else:
                 gain, best[k], weights[k] = best[k] - cost[k], cost[k], tried[k]
                 step[k] = np.linalg.solve(np.diag(penalty) + 2 * c * squares[k], 2 * c * sides[k]) - weights[k]
-                if gain <= 1e-9 * (1 + best[k]):
+                if gain <= 1e-8 * (1 + best[k]):
                     step[k] = 0
             if np.abs(step[k]).max() <= 1e-7 * (1 + np.abs(weights[k]).max()):
                 step[k] = 0
@@ -240,9 +240,9 @@ def fit(rows: DataFrame, kernel: str, c: float, gamma: float, folds: int = FOLDS
     return KernelMachine(lift, weights[-1], calibrate(left_out(rows, lift, weights)))
 
 
-def fold_accuracy(rows: DataFrame, kernel: str, c: float, gamma: float, folds: int = FOLDS) -> float:
-    """Mean share of right signs over the folds, each judged by the machine that did not see it."""
-    lift, width = map_for(rows, kernel, gamma)
+def fold_accuracy(rows: DataFrame, mapped: tuple[Map, int], c: float, folds: int = FOLDS) -> float:
+    """Mean share of right signs over the folds, each judged by the machine that did not see it; ``mapped`` is of :func:`map_for`."""
+    lift, width = mapped
     judged = left_out(rows, lift, solve(rows, lift, width, c, folds))
     right = judged.groupBy("fold").agg(F.avg(((F.col("decision") > 0) == (F.col("label") == 1)).cast("double")).alias("share"))
     return right.agg(F.avg("share")).first()[0]
