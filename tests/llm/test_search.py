@@ -41,9 +41,8 @@ def odd_vectors(seed, count=300, dims=16):
     return [(i, narrow(v), label) for i, v, label in rows]
 
 
-@pytest.mark.parametrize("chunk", [4, 1024])
-def test_near_vectors_equal_brute_force(spark, monkeypatch, chunk):
-    monkeypatch.setattr(pstable, "CHUNK", chunk)
+def test_near_vectors_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pstable, "CHUNK", 4)
     monkeypatch.setattr(pstable, "TASK_ROWS", 64)
     rows = odd_vectors(1)
     got = pstable.near_copies(frame(spark, rows))
@@ -70,10 +69,9 @@ def test_projections_and_tables_follow_the_number_of_vectors():
     assert abs(np.mean(np.floor((draw + shift) / 2) == 0) - pstable.collision(0.2, 2.0)) < 0.01
 
 
-@pytest.mark.parametrize("first_rows, cell_rows", [(1, 4), (16_384, 512)])
-def test_negatives_equal_brute_force(spark, monkeypatch, first_rows, cell_rows):
-    monkeypatch.setattr(hard_negatives, "FIRST_ROWS", first_rows)
-    monkeypatch.setattr(hard_negatives, "CELL_ROWS", cell_rows)
+def test_negatives_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(hard_negatives, "FIRST_ROWS", 20)
+    monkeypatch.setattr(hard_negatives, "CELL_ROWS", 4)
     monkeypatch.setattr(hard_negatives, "CHUNK", 16)
     monkeypatch.setattr(hard_negatives, "ANCHORS", 5)
     rows = odd_vectors(2)

@@ -1,5 +1,7 @@
 """Quality rules, suffix dedup, Jaccard join and decontamination against plain versions."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -157,6 +159,20 @@ def test_jaccard_join_of_a_large_group_of_near_copies(spark, monkeypatch, chunk)
     assert ordered(map(tuple, got)) == ordered(brute.components(rows, 3, 90))
 
 
+@pytest.mark.parametrize("size, percent", [(3, 90), (2, 60)])
+def test_jaccard_join_of_a_chain_of_copies(spark, size, percent):
+    """Each text is edited from the one before; all lists of shingles are counted, light and heavy ones."""
+    draw = random.Random(size)
+    words = [f"w{draw.randrange(400)}" for _ in range(150)]
+    rows = []
+    for k in range(220):
+        words = list(words)
+        words[draw.randrange(150)] = f"e{k}"
+        rows.append((k, " ".join(words)))
+    got = jaccard_join.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), size, percent).collect()
+    assert ordered(map(tuple, got)) == ordered(brute.components(rows, size, percent))
+
+
 def test_one_document_of_each_group_stays(odd, nothing, documents):
     rows = [(i, t) for i, t, _, _ in documents]
     one = jaccard_join.keep_one(odd, 3, 90)
