@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from codesieve import schemas
-from codesieve.operators import aggregates, harvest, scan, scoring, sets
+from codesieve.operators import aggregates, harvest, scoring, sets
 from codesieve.plans import rule_queries, set_queries, sql, views
 from codesieve.plans.registry import query
 from codesieve.plans.sql import with_views
