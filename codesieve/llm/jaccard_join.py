@@ -463,7 +463,9 @@ class Join:
         """Verified links ``a, b`` between representatives; they connect all that similar pairs connect."""
         pairs = self.store.keep(self._star_pairs(), "star-pairs")
         clusters = self.store.keep(components(pairs, self.store, "star-clusters"), "clusters")
+        self.store.tidy()
         sets = self._sets(clusters.select(F.col("node").alias("row")), "clusters", size_known=False)
+        self.store.tidy()
         stars = self._verified(pairs, sets, "stars")
         inner = self._cluster_links(clusters, components(stars, self.store, "star-components"), sets)
         self.store.drop("clusters-sets")

@@ -36,9 +36,11 @@ class Store:
         """Let Spark delete the shuffle files of jobs that are done.
 
         It does so once the driver's garbage collector has found that nothing refers to them, which may take long
-        where the driver has memory in plenty and the executors' disks have not.
+        where the driver has memory in plenty and the executors' disks have not. The first collection only gives up
+        the job that has just ended; what that job alone referred to goes with the second.
         """
-        self.spark._jvm.System.gc()
+        for _ in range(2):
+            self.spark._jvm.System.gc()
 
 
 def let(value: Column, body) -> Column:
