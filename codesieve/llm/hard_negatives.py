@@ -97,8 +97,9 @@ class Codebooks:
         Ends before a bound below ``floor``; leaves cells out that only hold scores above ``ceiling``. Also returns how many
         cells have been given out in all, and the bound of the next one, minus infinity if there is none.
         """
-        middle = [c @ v for c, v in zip(self.halves, self.split(vector[None])) for v in [v[0].astype(float)]]
-        reach = [np.sqrt((v.astype(float) ** 2).sum()) * r for v, r in zip(self.split(vector[None]), self.radii)]
+        parts = [half[0].astype(float) for half in self.split(vector[None])]
+        middle = [centres @ part for centres, part in zip(self.halves, parts)]
+        reach = [np.sqrt((part**2).sum()) * radii for part, radii in zip(parts, self.radii)]
         # Room for the rounding of bounds.
         slack = [1e-9 * (np.abs(m) + x) + 1e-6 for m, x in zip(middle, reach)]
         high = [m + x + s for m, x, s in zip(middle, reach, slack)]
