@@ -413,6 +413,18 @@ class Join:
         grouped = rows.join(sets, "node").groupBy("cluster", "left", "right")
         return self.store.keep(grouped.applyInArrow(_chunk_verifier(self.percent), "a long, b long").distinct(), "cluster-links")
 
+    def _clusters_met(self, probes: DataFrame, listed: DataFrame) -> DataFrame:
+        """``token, label_a, label_b``: a cluster that looks a list up with another one in it, only where the sizes of
+        their members there leave room for a similar pair."""
+        ranges = [
+            df.groupBy("token", f"label_{s}").agg(F.min(f"n_{s}").alias(f"low_{s}"), F.max(f"n_{s}").alias(f"high_{s}"))
+            for df, s in ((probes, "a"), (listed, "b"))
+        ]
+        reach = lambda high, low: 100 * F.col(high).cast("long") >= self.percent * F.col(low).cast("long")
+        near = reach("high_a", "low_b") & reach("high_b", "low_a")
+        met = ranges[0].join(ranges[1], "token").where((F.col("label_a") != F.col("label_b")) & near)
+        return met.select("token", "label_a", "label_b")
+
     def _pairs_across(self, clusters: DataFrame) -> DataFrame:
         """Pairs of different clusters that share as many looked-up shingles as the one that looks them up asks for."""
         index = self.index.join(clusters, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -432,8 +444,7 @@ class Join:
         names = lambda side: [F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "label")]
         probes = probes.select("token", "ask", *names("a"))
         listed = index.select("token", *names("b"))
-        labels = [df.select("token", c).distinct() for df, c in ((probes, "label_a"), (listed, "label_b"))]
-        across = labels[0].join(labels[1], "token").where("label_a <> label_b")
+        across = self._clusters_met(probes, listed)
         met = probes.join(across, ["token", "label_a"]).join(listed, ["token", "label_b"])
         met = met.where(self._similar_size("n_a", "n_b"))
         shared = met.groupBy("node_a", "node_b", "ask").agg(F.count("*").alias("shared")).where("shared >= ask")
