@@ -431,13 +431,12 @@ class Join:
         index = self.store.keep(index.select("node", "n", "label", "token", "place"), "labelled")
         self.store.drop("index")
         lists = index.groupBy("token", "label").agg(F.count("*").alias("own"))
-        mixed = lists.groupBy("token").agg(F.count("*").alias("labels")).where("labels > 1").select("token")
-        index = self.store.keep(index.join(mixed, "token"), "mixed")
+        mixed = lists.groupBy("token").agg(F.sum("own").alias("rows"), F.count("*").alias("labels")).where("labels > 1")
         # What a document would find in a list is what other clusters have there.
-        sizes = lists.join(mixed, "token").groupBy("token").agg(F.sum("own").alias("rows"))
         length = (F.col("rows") - F.col("own") + 1).cast("long").alias("length")
-        hits = index.join(sizes, "token").join(lists, ["token", "label"])
-        hits = hits.select("node", "n", "label", "place", length, "token").groupBy("node", "n", "label")
+        lengths = lists.join(mixed, "token").select("token", "label", length)
+        index = self.store.keep(index.join(lengths, ["token", "label"]), "mixed")
+        hits = index.groupBy("node", "n", "label")
         hits = hits.agg(F.collect_list(F.struct("place", "length", "token")).alias("hits"))
         probes = self.store.keep(hits.mapInArrow(_adapter(self.percent), PROBES), "probes")
         self.store.drop("labelled")
