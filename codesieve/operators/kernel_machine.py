@@ -8,15 +8,15 @@ linear one on it:
 * The polynomial kernel exactly: all monomials of its degree, each with the root of its multinomial weight.
 
 The loss is the squared hinge, whose Newton step only needs sums over the rows inside the margin: a pass over the table adds
-up one matrix of the map's width for each problem, and about ten passes do. Problems that differ in the rows they leave out
-(the folds, and the whole) are solved in the same passes. Decision values of rows that a fold left out calibrate a sigmoid
+up one matrix of the map's width for each problem, and about ten passes do. Problems on one map (folds, the whole, several
+costs) are solved in the same passes, each for as long as its weights move. Decision values of rows that a fold left out calibrate a sigmoid
 (Platt 1999), so probabilities come from rows that were not trained on.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
@@ -37,8 +37,12 @@ LANDMARKS = 256
 PASSES = 50
 #: Folds whose decision values calibrate the probabilities.
 FOLDS = 5
+#: Stands for the fold of a machine that leaves none out.
+WHOLE = -1
 SEED = 42
 
+SUMS = "problem int, task int, sums binary"
+
 Map = Callable[[np.ndarray], np.ndarray]
 
 
@@ -86,74 +90,80 @@ def _stacked(rows: pa.Array) -> np.ndarray:
 
 def _summed(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(data) for data in table.column("sums").to_pylist())
-    return pa.table({"task": table.column("task")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
+    return table.slice(0, 1).select(["problem", "task"]).append_column("sums", pa.array([total.tobytes()], pa.binary()))
 
 
-def _collected(parts: DataFrame) -> np.ndarray:
-    """Sum of one array per task, in two steps, so that no task and not the driver gets those of all."""
-    some = parts.groupBy(F.floor(F.col("task") / 64).alias("part")).applyInArrow(_summed, "task int, sums binary")
-    whole = some.groupBy(F.lit(0).alias("all")).applyInArrow(_summed, "task int, sums binary").collect()
-    return np.frombuffer(whole[0].sums) if whole else np.zeros(0)
+def _collected(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Sum of one array per task for each problem, in two steps, so that no task and not the driver gets those of all."""
+    some = parts.groupBy("problem", F.floor(F.col("task") / 64).alias("part")).applyInArrow(_summed, SUMS)
+    return {row.problem: np.frombuffer(row.sums) for row in some.groupBy("problem").applyInArrow(_summed, SUMS).collect()}
 
 
 def _with_bias(lift: Map, values: np.ndarray) -> np.ndarray:
     return np.hstack([lift(values), np.ones((len(values), 1))])
 
 
-def _margin_sums(lift: Map, weights: np.ndarray) -> Callable:
-    """For each problem: products and class sums of the rows inside the margin, and their squared distances to it."""
-    problems, width = weights.shape
+def _margin_sums(lift: Map, weights: dict[int, np.ndarray], left: dict[int, int]) -> Callable:
+    """For each problem: products and class sums of the rows inside the margin, and their squared distances to it.
+    ``left`` has the fold that a problem leaves out."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squares, sides, loss = np.zeros((problems, width, width)), np.zeros((problems, width)), np.zeros(problems)
+        width = len(next(iter(weights.values())))
+        squares = {problem: np.zeros((width, width)) for problem in weights}
+        sides, loss = {problem: np.zeros(width) for problem in weights}, dict.fromkeys(weights, 0.0)
         for batch in batches:
             if not len(batch):
                 continue
             rows = _with_bias(lift, _stacked(batch.column("values")))
             side = 2 * batch.column("label").to_numpy() - 1
             fold = batch.column("fold").to_numpy()
-            short = 1 - side[:, None] * (rows @ weights.T)
-            for problem in range(problems):
-                inside = (short[:, problem] > 0) & (fold != problem)
+            short = 1 - side[:, None] * (rows @ np.stack(list(weights.values())).T)
+            for at, problem in enumerate(weights):
+                inside = (short[:, at] > 0) & (fold != left[problem])
                 mine = rows[inside]
                 squares[problem] += mine.T @ mine
                 sides[problem] += mine.T @ side[inside]
-                loss[problem] += (short[inside, problem] ** 2).sum()
-        data = np.concatenate([squares.ravel(), sides.ravel(), loss]).tobytes()
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([data], pa.binary())], ["task", "sums"])
+                loss[problem] += (short[inside, at] ** 2).sum()
+        task = TaskContext.get().partitionId()
+        for problem in weights:
+            data = np.concatenate([squares[problem].ravel(), sides[problem], [loss[problem]]]).tobytes()
+            columns = [pa.array([problem], pa.int32()), pa.array([task], pa.int32()), pa.array([data], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["problem", "task", "sums"])
 
     return sums
 
 
-def solve(rows: DataFrame, lift: Map, width: int, c: float, folds: int) -> np.ndarray:
-    """Weights (bias last) of ``folds + 1`` machines on ``label, values, fold``; machine ``k`` leaves fold ``k`` out, the last none.
+def solve(rows: DataFrame, lift: Map, width: int, problems: Sequence[tuple[float, int]]) -> np.ndarray:
+    """Weights (bias last) of a machine on ``label, values, fold`` for each problem: its ``c`` and the fold it leaves out,
+    or :data:`WHOLE`. A problem takes part in the passes until its weights stand still.
 
     Minimises ``|w|^2 / 2 + c * sum(max(0, 1 - y f(x)) ** 2)``, the bias free, by Newton steps that are halved while they do
     not help.
     """
-    problems, size = folds + 1, width + 1
+    size = width + 1
     penalty = np.ones(size)
     penalty[-1] = 1e-9
-    weights = np.zeros((problems, size))
-    step, best = np.zeros((problems, size)), np.full(problems, np.inf)
+    weights = np.zeros((len(problems), size))
+    step, best = np.zeros((len(problems), size)), np.full(len(problems), np.inf)
+    moving = list(range(len(problems)))
     for _ in range(PASSES):
-        tried = weights + step
-        data = _collected(rows.select("label", "values", "fold").mapInArrow(_margin_sums(lift, tried), "task int, sums binary"))
-        squares, sides, loss = np.split(data, [problems * size * size, problems * size * (size + 1)])
-        squares, sides = squares.reshape(problems, size, size), sides.reshape(problems, size)
-        cost = (penalty * tried**2).sum(axis=1) / 2 + c * loss
-        moving = False
-        for k in range(problems):
-            if cost[k] > best[k]:
+        tried = {k: weights[k] + step[k] for k in moving}
+        sums = _margin_sums(lift, tried, {k: problems[k][1] for k in moving})
+        data = _collected(rows.select("label", "values", "fold").mapInArrow(sums, SUMS))
+        for k in moving:
+            c = problems[k][0]
+            squares, sides, loss = data[k][: size * size].reshape(size, size), data[k][size * size : -1], data[k][-1]
+            cost = (penalty * tried[k] ** 2).sum() / 2 + c * loss
+            if cost > best[k]:
                 step[k] /= 2
             else:
-                gain, best[k], weights[k] = best[k] - cost[k], cost[k], tried[k]
-                step[k] = np.linalg.solve(np.diag(penalty) + 2 * c * squares[k], 2 * c * sides[k]) - weights[k]
+                gain, best[k], weights[k] = best[k] - cost, cost, tried[k]
+                step[k] = np.linalg.solve(np.diag(penalty) + 2 * c * squares, 2 * c * sides) - weights[k]
                 if gain <= 1e-8 * (1 + best[k]):
                     step[k] = 0
             if np.abs(step[k]).max() <= 1e-7 * (1 + np.abs(weights[k]).max()):
                 step[k] = 0
-            moving |= bool(step[k].any())
+        moving = [k for k in moving if step[k].any()]
         if not moving:
             break
     return weights
@@ -236,13 +246,30 @@ def left_out(rows: DataFrame, lift: Map, weights: np.ndarray) -> DataFrame:
 def fit(rows: DataFrame, kernel: str, c: float, gamma: float, folds: int = FOLDS) -> KernelMachine:
     """A calibrated machine on ``label, values, fold``."""
     lift, width = map_for(rows, kernel, gamma)
-    weights = solve(rows, lift, width, c, folds)
+    weights = solve(rows, lift, width, [(c, fold) for fold in [*range(folds), WHOLE]])
     return KernelMachine(lift, weights[-1], calibrate(left_out(rows, lift, weights)))
 
 
-def fold_accuracy(rows: DataFrame, mapped: tuple[Map, int], c: float, folds: int = FOLDS) -> float:
-    """Mean share of right signs over the folds, each judged by the machine that did not see it; ``mapped`` is of :func:`map_for`."""
+def fit_after_folds(rows: DataFrame, mapped: tuple[Map, int], c: float, folded_weights: np.ndarray) -> KernelMachine:
+    """The machine that :func:`fit` gives, where those that leave a fold out are solved already."""
+    lift, width = mapped
+    return KernelMachine(lift, solve(rows, lift, width, [(c, WHOLE)])[0], calibrate(left_out(rows, lift, folded_weights)))
+
+
+def fold_accuracies(
+    rows: DataFrame, mapped: tuple[Map, int], costs: Sequence[float], folds: int = FOLDS
+) -> list[tuple[float, np.ndarray]]:
+    """For each cost: the mean share of right signs over the folds, each judged by the machine that did not see it, and the
+    weights of those machines. ``mapped`` is of :func:`map_for`."""
     lift, width = mapped
-    judged = left_out(rows, lift, solve(rows, lift, width, c, folds))
-    right = judged.groupBy("fold").agg(F.avg(((F.col("decision") > 0) == (F.col("label") == 1)).cast("double")).alias("share"))
-    return right.agg(F.avg("share")).first()[0]
+    weights = solve(rows, lift, width, [(c, fold) for c in costs for fold in range(folds)]).reshape(len(costs), folds, -1)
+
+    @F.pandas_udf("array<double>")
+    def decide(values: pd.Series, fold: pd.Series) -> pd.Series:
+        lifted = _with_bias(lift, np.stack(values.to_list()))
+        return pd.Series(list(np.stack([(lifted * own[fold.to_numpy()]).sum(axis=1) for own in weights], axis=1)))
+
+    judged = rows.select("label", "fold", F.posexplode(decide("values", "fold")).alias("cost", "decision"))
+    right = F.avg(((F.col("decision") > 0) == (F.col("label") == 1)).cast("double")).alias("share")
+    shares = dict(judged.groupBy("cost", "fold").agg(right).groupBy("cost").agg(F.avg("share")).collect())
+    return [(shares[k], weights[k]) for k in range(len(costs))]

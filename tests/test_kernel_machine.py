@@ -105,3 +105,48 @@ def test_each_tree_has_its_own_rows_of_the_whole_table(spark, count):
         assert sorted(ids) == sorted(r.id for r in order.collect())
     if count > 64:
         assert len({tuple(sorted(ids)) for ids in drawn.values()}) == 8
+
+
+def test_problems_of_several_costs_are_solved_in_the_same_passes(spark, monkeypatch):
+    x, y, _ = rows_of(6, 200)
+    rows = kernel_machine.folded(frame(spark, x, y), 2)
+    lift, width = mapped = kernel_machine.map_for(rows, "poly", 0.5)
+    passes, collected = [], kernel_machine._collected
+    monkeypatch.setattr(kernel_machine, "_collected", lambda parts: passes.append(1) or collected(parts))
+    apart = []
+    for problem in ((0.2, 0), (5.0, 1), (5.0, kernel_machine.WHOLE)):
+        passes.clear()
+        apart.append((kernel_machine.solve(rows, lift, width, [problem])[0], len(passes)))
+    passes.clear()
+    together = kernel_machine.solve(rows, lift, width, [(0.2, 0), (5.0, 1), (5.0, kernel_machine.WHOLE)])
+    assert len(passes) == max(n for _, n in apart) < sum(n for _, n in apart)
+    assert np.allclose(together, [weights for weights, _ in apart], atol=1e-6)
+    shares = [share for share, _ in kernel_machine.fold_accuracies(rows, mapped, [0.2, 5.0], 2)]
+    weights = kernel_machine.solve(rows, lift, width, [(5.0, 0), (5.0, 1)])
+    right = [((r.decision > 0) == (r.label == 1), r.fold) for r in kernel_machine.left_out(rows, lift, weights).collect()]
+    assert shares[1] == pytest.approx(np.mean([np.mean([ok for ok, fold in right if fold == k]) for k in (0, 1)]))
+
+
+def test_search_of_machines_passes_once_for_settings_of_one_map(spark, monkeypatch):
+    x, y, _ = rows_of(7, 120)
+    calls, solve = [], kernel_machine.solve
+    monkeypatch.setattr(kernel_machine, "solve", lambda rows, lift, *a, **k: calls.append(lift) or solve(rows, lift, *a, **k))
+    machine, settings, accuracy = models.search_machine(frame(spark, x, y).select("label", "features"), size=7, folds=2)
+    assert len(calls) <= 5 and 0.5 < accuracy <= 1
+    assert settings["kernel"] in models.SEARCH_KERNEL and machine.weights.ndim == 1
+
+
+def test_search_of_forests_has_the_folds_of_the_cross_validator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+
+    x, y, _ = rows_of(8, 150)
+    train = frame(spark, x, y).select("label", "features").coalesce(1)
+    trees = models.forest("risk")
+    maps = [{trees.numTrees: n, trees.maxDepth: d, trees.minInstancesPerNode: 1} for n, d in ((3, 2), (5, 4), (4, 1))]
+    judge = MulticlassClassificationEvaluator(labelCol="label", metricName="accuracy")
+    plain = CrossValidator(estimator=trees, estimatorParamMaps=maps, evaluator=judge, numFolds=3, seed=models.SEED).fit(train)
+    model, settings, accuracy = models._search(trees, maps, train, 3)
+    assert accuracy == pytest.approx(max(plain.avgMetrics)) and settings == maps[int(np.argmax(plain.avgMetrics))]
+    assert model.toDebugString.split("\n")[1:] == plain.bestModel.toDebugString.split("\n")[1:]
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
