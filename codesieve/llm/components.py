@@ -1,8 +1,8 @@
 """Connected components of a table of links, by alternating stars.
 
 Each round points the larger neighbours of every node, then the smaller ones, at the smallest node known there,
-until nothing changes. Only minima per node are gathered; the links of a node with very many neighbours are never
-brought into one task but split by the skew handling of the joins.
+until every component is a star around its smallest node. Only minima per node are gathered; the links of a node with
+very many neighbours are never brought into one task but split by the skew handling of the joins.
 """
 
 from __future__ import annotations
@@ -22,21 +22,30 @@ def _point(edges: DataFrame, own_too: bool) -> DataFrame:
     return pointed.where("u > v").distinct()
 
 
+def _around(edges: DataFrame) -> DataFrame:
+    """For every node of links ``u > v``: the smallest node ``m`` around it, itself included; whether it is ``loose``, that is
+    has two smaller neighbours, or a smaller and a larger one, which no node of a star has."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    smaller = F.count(F.when(F.col("v") < F.col("u"), True))
+    loose = (smaller > 1) | ((smaller == 1) & (F.count("*") > 1))
+    return both.groupBy("u").agg(F.min("v").alias("m"), loose.alias("loose")).withColumn("m", F.least("u", "m"))
+
+
 def components(links: DataFrame, store: Store, name: str) -> DataFrame:
-    """``node, label`` for every node of ``links`` (``a, b``): the smallest node reachable. Runs jobs until it is stable."""
+    """``node, label`` for every node of ``links`` (``a, b``): the smallest node reachable. Runs jobs until all are stars."""
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = store.keep(edges, f"{name}-0")
-    seen, turn = None, 0
+    edges, turn = store.keep(edges, f"{name}-0"), 0
     while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen:
+        around = store.keep(_around(edges), f"{name}-around-{turn}")
+        if not around.agg(F.max("loose")).first()[0]:
             break
-        seen, turn = tuple(state), turn + 1
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        up = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        larger = both.where("v > u").join(up, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        turn += 1
+        least = around.select(F.col("u").alias("v"), "m")
+        larger = edges.join(least, "v").select("u", F.col("m").alias("v")).distinct()
         newer = store.keep(_point(larger, own_too=True), f"{name}-{turn}")
-        store.drop(f"{name}-{turn - 1}")
+        for table in (f"{name}-{turn - 1}", f"{name}-around-{turn - 1}"):
+            store.drop(table)
         edges = newer
+    store.drop(f"{name}-around-{turn}")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)

@@ -326,7 +326,6 @@ class Join:
         text_key = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key)
         numbered = self.docs.withColumn("row", F.monotonically_increasing_id())
-        self.store.tidy()
         classes = docs.sparkSession.sparkContext.broadcast(frequency_classes(self.docs, words))
         self.sketch = self.store.keep(numbered.mapInArrow(_sketcher(words, percent, classes), SKETCH), "sketch")
         # The table is written: no task asks for the classes again.
@@ -335,9 +334,7 @@ class Join:
         sets = self.sketch.where("n > 0")
         self.classes = sets.groupBy(*same).agg(F.min("row").alias("node"))
         heads = sets.groupBy(*same).agg(F.min("row").alias("node"), F.first(F.struct("light", "tokens")).alias("head"))
-        self.store.tidy()
         self.index = self.store.keep(self._index(heads.select("node", "n", "head.light", "head.tokens")), "index")
-        self.store.tidy()
 
     def _similar_size(self, a: str, b: str) -> Column:
         return 100 * F.least(a, b) >= self.percent * F.greatest(a, b)
@@ -473,13 +470,10 @@ class Join:
         """Verified links ``a, b`` between representatives; they connect all that similar pairs connect."""
         pairs = self.store.keep(self._star_pairs(), "star-pairs")
         clusters = self.store.keep(components(pairs, self.store, "star-clusters"), "clusters")
-        self.store.tidy()
         sets = self._sets(clusters.select(F.col("node").alias("row")), "clusters", size_known=False)
-        self.store.tidy()
         stars = self._verified(pairs, sets, "stars")
         inner = self._cluster_links(clusters, components(stars, self.store, "star-components"), sets)
         self.store.drop("clusters-sets")
-        self.store.tidy()
         far = self.store.keep(self._pairs_across(clusters), "far-pairs")
         for table in ("mixed", "probes"):
             self.store.drop(table)
