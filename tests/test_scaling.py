@@ -4,7 +4,7 @@ import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from codesieve.operators import sampling, vectors
+from codesieve.operators import features, models, sampling, vectors
 from codesieve.plans import model_queries, set_queries, source_queries
 
 TEXTS = [
@@ -62,3 +62,22 @@ def test_clusters_of_unlike_sizes_are_not_paired(spark):
     met = join._clusters_met(probes, probes.toDF("token", "label_b", "n_b")).where("least(label_a, label_b) >= 20")
     assert {(r.label_a, r.label_b) for r in met.collect()} == {(20, 21), (21, 20)}
     assert join._clusters_met(probes, probes.toDF("token", "label_b", "n_b")).count() < 10
+
+
+def test_search_trains_on_every_row_that_is_not_held_out(spark, monkeypatch):
+    columns = [((F.col("id") * (k + 3)) % 17).alias(name) for k, name in enumerate(features.FEATURES_10)]
+    rows = spark.range(60).select(F.col("id").alias("file_id"), *columns, (F.col("id") % 2).alias("label"), (F.col("id") % 5 == 0).alias("is_test"))
+    seen = []
+    monkeypatch.setattr(model_queries, "structural", lambda *_: rows)
+    monkeypatch.setattr(model_queries, "SEARCH_ROWS", 10, raising=False)
+    monkeypatch.setattr(model_queries, "SEARCH_PART", 10, raising=False)
+    monkeypatch.setattr(models, "search_forest", lambda train: (seen.append(train), {}, 0.0))
+    monkeypatch.setattr(models, "search_machine", lambda train: seen.append(train) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        model_queries.mdl_search(spark, "")
+    assert [train.count() for train in seen] == [48, 48]
+    assert len(list(seen[0].inputFiles())) == 5
+
+
+def test_fits_of_a_large_table_run_one_by_one():
+    assert [models._side_by_side(n, 16) for n in (0, 20_000, 100_000, 3_000_000)] == [16, 16, 4, 1]
