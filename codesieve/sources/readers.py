@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import warnings
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +14,16 @@ from pyspark.sql import functions as F
 from codesieve import schemas
 from codesieve.functions import languages
 from codesieve.operators.sets import union_all
+from codesieve.session import materialise
 
 # Quoted fields may hold line feeds and doubled quotes, as code does.
 CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
+#: Names that a listing hands over at a time, files that a task reads, bytes that it hands over at a time.
+NAMES = 10_000
+FILES_PER_TASK = 5_000
+BATCH_BYTES = 4 << 20
+
 # A pair of characters that no text may hold; stands for a real U+FFFD while bad bytes are dropped.
 _HELD = "﷐﷑"
 
@@ -101,9 +109,84 @@ def source_tree(spark: SparkSession, root: str, glob: str = "*.py") -> DataFrame
     return _binary(spark, root, glob, deep=True).select("path", decode(F.col("content")).alias("code"))
 
 
+def _hidden(name: str) -> bool:
+    """Names that Spark's own listing leaves out."""
+    metadata = name.startswith(("_common_metadata", "_metadata"))
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name and not metadata)
+
+
+def _names(folder: str) -> Iterator[str]:
+    with os.scandir(folder) as entries:
+        for entry in entries:
+            if not _hidden(entry.name) and entry.is_file():
+                yield entry.name
+
+
+def _listed(spark: SparkSession, folder: str) -> DataFrame:
+    """``name`` of the files directly in a folder, read as a stream by one task and written: the driver holds none."""
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some: list[str] = []
+            for name in _names(folder) if len(batch) else ():
+                some.append(name)
+                if len(some) == NAMES:
+                    yield pa.RecordBatch.from_pydict({"name": some})
+                    some = []
+            if some:
+                yield pa.RecordBatch.from_pydict({"name": some})
+
+    return materialise(spark.range(0, 1, 1, 1).mapInArrow(names, "name string"), "names")
+
+
+def _contents(names: DataFrame, folder: str) -> DataFrame:
+    """``name, content`` of files in a folder, read by as many tasks as their number asks for; like Spark's reader without
+    the empty ones."""
+    schema = pa.schema([("name", pa.string()), ("content", pa.binary())])
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some, held = [], 0
+            for name in batch.column(0).to_pylist():
+                with open(os.path.join(folder, name), "rb") as file:
+                    content = file.read()
+                if content:
+                    some.append({"name": name, "content": content})
+                    held += len(content)
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(some, schema)
+                    some, held = [], 0
+            if some:
+                yield pa.RecordBatch.from_pylist(some, schema)
+
+    tasks = max(names.sparkSession.sparkContext.defaultParallelism, -(-names.count() // FILES_PER_TASK))
+    return names.repartition(tasks).mapInArrow(contents, "name string, content binary")
+
+
+def _local_folder(spark: SparkSession, root: str) -> tuple[str, str] | None:
+    """A folder of the machines' own file system as Spark names it and as a plain path; None for another store."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    named = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    uri = named.toUri()
+    return (named.toString(), uri.getPath()) if uri.getScheme() == "file" else None
+
+
 def source_folder(spark: SparkSession, root: str) -> DataFrame:
-    """(path, language, code) of the files directly in ``root`` that have a mapped extension."""
-    flat = _binary(spark, root, "*", deep=False)
+    """(path, language, code) of the files directly in ``root`` that have a mapped extension.
+
+    Spark's file source keeps the status of every file in the driver. A folder that all executors reach as a path is
+    listed and read by tasks instead; its names are written once, when this is called. Other stores are read by Spark.
+    """
+    local = _local_folder(spark, root)
+    if local:
+        shown, folder = local
+        names = _listed(spark, folder)
+        path = F.concat(F.lit(shown.rstrip("/") + "/"), F.col("name"))
+        language = languages.from_path(F.col("name"))
+        flat = _contents(names.where(language.isNotNull()), folder).withColumn("path", path)
+    else:
+        flat = _binary(spark, root, "*", deep=False)
     mapped = flat.withColumn("language", languages.from_path(F.col("path"))).where("language IS NOT NULL")
     return mapped.select("path", "language", decode(F.col("content")).alias("code"))
 

@@ -81,3 +81,23 @@ def test_search_trains_on_every_row_that_is_not_held_out(spark, monkeypatch):
 
 def test_fits_of_a_large_table_run_one_by_one():
     assert [models._side_by_side(n, 16) for n in (0, 20_000, 100_000, 3_000_000)] == [16, 16, 4, 1]
+
+
+def test_driver_does_not_hold_the_files_of_a_flat_folder(spark, tmp_path):
+    from codesieve.functions import languages
+    from codesieve.sources import readers
+
+    names = ["a.py", "B.JAVA", "c d.js", "e%20f.ts", "_g.py", "_h=1.py", ".i.py", "j.md", "k", "l.h.cpp", "x._COPYING_"]
+    names += [f"n{k}.py" for k in range(40)]
+    for name in names:
+        (tmp_path / name).write_bytes(f"x = '{name}'\r\n".encode() + b"\xff")
+    (tmp_path / "empty.py").touch()
+    (tmp_path / "below").mkdir()
+    (tmp_path / "below" / "o.py").write_text("deep")
+    spelled = spark.read.format("binaryFile").load(str(tmp_path)).withColumn("language", languages.from_path(F.col("path")))
+    want = spelled.where("language IS NOT NULL").select("path", "language", readers.decode(F.col("content")).alias("code"))
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        found = readers.source_folder(spark, root)
+        assert found.schema.simpleString() == want.schema.simpleString()
+        assert sorted(found.collect()) == sorted(want.collect()) and found.count() == 46
+        assert len(found.inputFiles()) < 10
