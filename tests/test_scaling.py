@@ -40,6 +40,34 @@ def test_vocabularies_of_all_groups_in_one_job(texts):
     assert found == {g: vectors.fit_vectoriser(texts.where(F.col("language") == g), min_docs=1) for g in ("x", "y")}
 
 
+def test_terms_are_counted_in_batches_not_row_by_row(texts, monkeypatch):
+    docs = vectors.with_term_counts(texts.unionByName(texts.where("row_id < 3").withColumn("terms", F.lit(None).cast("array<string>"))))
+    want = vectors.vocabulary(docs, 3, 1).collect()
+    batched = vectors.most_frequent(vectors.term_totals(docs.repartition(2)), 3, 1)
+    assert batched.schema.simpleString() == vectors.vocabulary(docs, 3, 1).schema.simpleString()
+    assert sorted(batched.collect()) == sorted(want) and len(want) == 6
+    assert vectors.term_totals(texts.where("false")).count() == 0
+    calls = []
+    monkeypatch.setattr(vectors, "with_term_counts", lambda *a, **k: calls.append(1) or 1 / 0)
+    vectors.fit_vectorisers(texts, ["x", "y"], min_docs=1)
+    assert not calls
+
+
+def test_keywords_are_searched_in_a_text_that_is_folded_once(spark):
+    from codesieve.functions import profiles
+
+    texts = ["", None, "EVAL(eval) evaleval", "İeval md5", "aaa"]
+    table = spark.createDataFrame([(t,) for t in texts], "code string")
+    for ignore_case in (True, False):
+        row = profiles.keyword_vector(F.col("code"), ("eval", "MD5", "aa"), ignore_case).alias("counts")
+        found = [r[0] for r in table.select(row).collect()]
+        fold = (lambda t: t.lower()) if ignore_case else (lambda t: t)
+        want = [[float(fold(t).count(fold(w))) for w in ("eval", "MD5", "aa")] + [len(t) / 1000] if t is not None else [0.0] * 4 for t in texts]
+        assert found == want
+        plan = table.select(row)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("lower(code") == ignore_case
+
+
 @pytest.mark.parametrize("name", ["vec_hybrid", "rel_feature_union"])
 def test_snippets_are_gathered_once_for_all_models(spark, small, monkeypatch, name):
     calls, train = [], set_queries.train
@@ -101,3 +129,24 @@ def test_driver_does_not_hold_the_files_of_a_flat_folder(spark, tmp_path):
         assert found.schema.simpleString() == want.schema.simpleString()
         assert sorted(found.collect()) == sorted(want.collect()) and found.count() == 46
         assert len(found.inputFiles()) < 10
+
+
+@pytest.mark.parametrize("name", ["mdl_language_reports"])
+def test_models_of_all_groups_are_trained_side_by_side(spark, monkeypatch, name):
+    import threading
+
+    together = threading.Barrier(len(model_queries.MODEL_NAMES), timeout=20)
+    table = spark.createDataFrame([], "language string, is_test boolean")
+    monkeypatch.setattr(model_queries, "text_rows", lambda *_: table)
+    monkeypatch.setattr(vectors, "fit_vectorisers", lambda *_: dict.fromkeys(model_queries.MODEL_NAMES))
+
+    class Met(Exception):
+        pass
+
+    def fit(*_):
+        together.wait()
+        raise Met
+
+    monkeypatch.setattr(model_queries, "fit_text_model", fit)
+    with pytest.raises(Met):
+        getattr(model_queries, name)(spark, "")
