@@ -131,7 +131,7 @@ def test_driver_does_not_hold_the_files_of_a_flat_folder(spark, tmp_path):
         assert len(found.inputFiles()) < 10
 
 
-@pytest.mark.parametrize("name", ["mdl_language_reports", "mdl_persist"])
+@pytest.mark.parametrize("name", ["mdl_language_reports", "mdl_persist", "rep_files_model"])
 def test_models_of_all_groups_are_trained_side_by_side(spark, monkeypatch, name):
     import threading
 
